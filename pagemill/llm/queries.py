@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, licenses, minhash, packing, sharding, token_counts
+from . import decontaminate, embeddings, language, licenses, minhash, packing, sharding, suffix, token_counts, toxicity
 from .staging import table
 
 
@@ -16,6 +16,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark, table(spark, sf_dir, "documents"), words=2)
 
@@ -24,6 +28,16 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(spark, table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxicity(spark, docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.deduplicate(spark, docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(spark, table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score")
 
@@ -47,6 +61,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_minhash_near_dedup, op3_best_fit_packing, op6_language_id, op7_license_scan, op8_token_counts, op9_decontamination, op10_sharding)
+    f.__name__: f
+    for f in (
+        op1_embedding_near_dedup,
+        op2_minhash_near_dedup,
+        op3_best_fit_packing,
+        op4_toxicity,
+        op5_suffix_dedup,
+        op6_language_id,
+        op7_license_scan,
+        op8_token_counts,
+        op9_decontamination,
+        op10_sharding,
+    )
 }
 ORACLES: dict[str, str] = {}

@@ -231,7 +231,7 @@ def _column(table: pa.Table, name: str) -> list:
     return table.column(name).to_pylist()
 
 
-def _common_anchors(table: pa.Table) -> pa.Table:
+def _common_anchors(table: pa.Table, most: int) -> pa.Table:
     """Of one bucket: to each shard its anchors that another shard has too, the hot ones apart."""
     shards = _column(table, "shard")
     own = [np.frombuffer(b, np.uint64) for b in _column(table, "body")]
@@ -244,7 +244,7 @@ def _common_anchors(table: pa.Table) -> pa.Table:
     for shard, x in zip(shards, own, strict=True):
         x = np.unique(x)
         k = np.searchsorted(every, x)
-        hot = places[k] > HOT
+        hot = places[k] > most
         rows += [(shard, _ANCHORS, int(h), y.tobytes()) for h in (False, True) if len(y := x[common[k] & (hot == h)])]
     return pa.Table.from_batches([_rows(rows)])
 
@@ -392,7 +392,7 @@ def _results(table: pa.Table, text: str, names: list[str], width: int) -> pa.Tab
 _NEW = [StructField("n_bytes", LongType()), StructField("n_removed", LongType()), StructField("n_spans", LongType()), StructField("kept_sha256", StringType()), StructField("kept_text", StringType())]
 
 
-def deduplicate(spark: SparkSession, docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def deduplicate(spark: SparkSession, docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES, hot: int = HOT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``n_bytes, n_removed, n_spans, kept_sha256, kept_text``.
 
     Each byte is removed that lies in a string of ``width`` bytes which also starts earlier: in a
@@ -407,7 +407,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, width: int = WIDTH, anchor
     Shuffled are the shards' compressed texts (twice), a hash for each anchor, and the strings
     around anchors that shards share. A shard holds ``shard_bytes`` or one text; a bucket one of
     ``spark.sql.shuffle.partitions`` parts of the anchors. A string that is in a third of all
-    documents is in a bucket once for each shard; an anchor with more than ``HOT`` places, in
+    documents is in a bucket once for each shard; an anchor with more than ``hot`` places, in
     different strings, is spread over the buckets of those strings.
     """
     stage = Staging(spark, "suffix")
@@ -416,7 +416,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, width: int = WIDTH, anchor
     base = docs.select(*[c for c in docs.columns if c.lower() not in new])
     first = stage.write(base.mapInArrow(lambda it: _sharded(it, doc_id, text, width, anchor, shard_bytes, buckets), _ROWS), "shards")
     whole = first.where(F.col("kind") != _ANCHORS)
-    common = first.where(F.col("kind") == _ANCHORS).groupBy("bucket").applyInArrow(_common_anchors, _ROWS)
+    common = first.where(F.col("kind") == _ANCHORS).groupBy("bucket").applyInArrow(lambda t: _common_anchors(t, hot), _ROWS)
     sent = whole.unionByName(common).groupBy("shard").applyInArrow(lambda t: _sent(t, doc_id, text, width, anchor, buckets), _ROWS)
     later = sent.groupBy("bucket", "kind").applyInArrow(_merged, _ROWS)
     schema = StructType(list(base.schema.fields) + _NEW)
