@@ -6,5 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from . import audit_queries
+
+_PARTS = (audit_queries,)
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: q for part in _PARTS for name, q in part.QUERIES.items()}
+ORACLES: dict[str, str] = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
