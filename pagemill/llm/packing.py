@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -13,6 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .arrow import text_chunks
 from .staging import Staging
 
 CAPACITY = 2048
@@ -25,39 +29,63 @@ CACHE_WORDS = 400_000
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+#: Byte-level vocabularies write each byte as a character: itself if it is printable, else the next one from U+0100 on.
+_LETTER_OF_BYTE = {b: 256 + k for k, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))}
+
+
 class Encoder:
     """Ids of whole texts, as bytes of little-endian 32-bit numbers, equal to the library's.
 
-    The vocabulary folds case, composes and splits texts into words before it merges, so a word's
-    ids depend on the word alone and are remembered. A text with a character beyond U+02FF (but
-    the general punctuation), where folding and composing could reach over words, or with the
-    opening of a special token, goes to the library whole.
+    The vocabulary folds case, composes and splits texts into words, never over white space,
+    before it merges, so the ids of what stands between white space depend on it alone; they and
+    those of its words are remembered. A text with a character beyond U+02FF (but the general
+    punctuation), where folding and composing could reach further, or with the opening of a
+    special token, goes to the library whole.
     """
 
-    _plain = regex.compile(r"[\t\n\r\x20-\x7E¡-įı-˿‐-‟…]*")
+    _odd = re.compile("[^\t\n\r -~\u00A1-\u012F\u0131-\u02FF\u2010-\u201F\u2026]|<\\|")
     _word = regex.compile(WORD)
 
     def __init__(self, vocabulary: str) -> None:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(vocabulary)
-        self._known: dict[str, bytes] = {}
+        self._merge = self._tokenizer.model.tokenize
+        self._words: dict[str, bytes] = {}
+        self._chunks: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __call__(self, text: str) -> bytes:
-        if "<|" in text or not self._plain.fullmatch(text):
-            return self._whole(text)
-        known, out = self._known, []
-        for w in self._word.findall(text.lower()):
-            ids = known.get(w)
-            if ids is None:
-                if len(known) >= CACHE_WORDS:
-                    known.clear()
-                ids = known[w] = self._whole(w)
-            out.append(ids)
-        return b"".join(out)
+        return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word_ids(self, word: str) -> bytes:
+        ids = self._words.get(word)
+        if ids is None:
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTER_OF_BYTE)
+            ids = self._words[word] = array("I", [t.id for t in self._merge(letters)]).tobytes()
+        return ids
+
+    def _learn(self, chunks: set[str]) -> None:
+        find, word_ids, known = self._word.findall, self._word_ids, self._chunks
+        for c in chunks:
+            known[c] = word_ids(c) if c.isalpha() else b"".join(map(word_ids, find(c)))
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        split = [None if self._odd.search(t) else t.lower().split() for t in texts]
+        if len(self._chunks) > CACHE_WORDS or len(self._words) > CACHE_WORDS:
+            self._chunks.clear()
+            self._words.clear()
+        known = self._chunks
+        missing = {c for chunks in split if chunks for c in chunks if c not in known}
+        if missing:
+            self._learn(missing)
+        get = known.__getitem__
+        return [self._whole(t) if chunks is None else b"".join(map(get, chunks)) for t, chunks in zip(texts, split, strict=True)]
+
+
+@lru_cache(1)
+def _encoder(vocabulary: str) -> Encoder:
+    """One for each worker, so that what one task has encoded serves the next."""
+    return Encoder(vocabulary)
 
 
 def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
@@ -90,11 +118,12 @@ def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.
 
 
 def _pieces(batches: Iterable[pa.RecordBatch], vocabulary: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    encode, end, task, seen = Encoder(vocabulary), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), 0
-    for batch in batches:
+    encoder, end, task, seen = _encoder(vocabulary), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), 0
+    for batch, _, _ in text_chunks(batches, "text"):
         rows = []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            ids = encode(text or "") + end
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.many(texts), strict=True):
+            ids += end
             for piece, lo in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[lo : lo + 4 * capacity]
                 rows.append((doc_id, piece, lo // 4, len(part) // 4, zlib.crc32(part), task << 36 | seen))
