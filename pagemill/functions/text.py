@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -12,6 +13,11 @@ def c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value made once: inside a lambda Spark would make it anew for each element."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def replaced(x: Column, pattern: str, by: str) -> Column:
     return F.regexp_replace(x, F.lit(pattern), F.lit(by))
 
@@ -25,9 +31,12 @@ def normal_stem(text: Column | str) -> Column:
 def shingles(stem: Column | str, n: int = 8) -> Column:
     """Distinct runs of ``n`` words of a normalised stem; a shorter stem is one itself, an empty one has none."""
     stem = c(stem)
-    tok = F.split(stem, " ")
-    runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(tok) - (n - 1)), lambda i: F.array_join(F.slice(tok, i, n), " ")))
-    return F.when(stem == "", F.array().cast("array<string>")).when(F.size(tok) < n, F.array(stem)).otherwise(runs)
+
+    def runs(tok: Column) -> Column:
+        every = F.transform(F.sequence(F.lit(1), F.size(tok) - (n - 1)), lambda i: F.array_join(F.slice(tok, i, n), " "))
+        return F.when(F.size(tok) < n, F.array(F.array_join(tok, " "))).otherwise(F.array_distinct(every))
+
+    return F.when(stem == "", F.array().cast("array<string>")).otherwise(let(F.split(stem, " "), runs))
 
 
 def numbers(text: Column | str) -> Column:

@@ -14,7 +14,7 @@ FATAL = ("changed_number", "hallucinated_addition", "deletion", "content_substit
 
 def bag_minus(a: Column, b: Column) -> Column:
     """What ``a`` has more often than ``b``: distinct elements by their counts."""
-    return F.filter(F.array_distinct(a), lambda x: F.size(F.filter(a, lambda y: y == x)) > F.size(F.filter(b, lambda y: y == x)))
+    return T.let(a, lambda p: T.let(b, lambda q: F.filter(F.array_distinct(p), lambda x: F.size(F.filter(p, lambda y: y == x)) > F.size(F.filter(q, lambda y: y == x)))))
 
 
 def _same_bag(a: Column, b: Column) -> Column:
