@@ -10,7 +10,7 @@ from pagemill.operators import audit, vocab
 from pagemill.sources.tables import table
 
 STEM = "trim(regexp_replace(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g'))"
-NUMBERS = r"list_distinct(list_filter(list_transform(regexp_extract_all(coalesce({0}, ''), '\p{{Nd}}[\p{{Nd}},\.]*'), x -> regexp_replace(replace(x, ',', ''), '\.+$', '')), x -> x <> ''))"
+NUMBERS = r"list_distinct(list_filter(list_transform(regexp_extract_all(coalesce({0}, ''), '\p{{Nd}}[\p{{Nd}},\.]*'), lambda x: regexp_replace(replace(x, ',', ''), '\.+$', '')), lambda x: x <> ''))"
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +25,7 @@ DUP_DOCUMENTS = f"""
 WITH stems AS (SELECT doc_id, {STEM} AS stem FROM documents),
 toks AS (SELECT doc_id, stem, string_split(stem, ' ') AS tok FROM stems WHERE stem <> ''),
 sh AS (SELECT DISTINCT doc_id, s FROM (
-  SELECT doc_id, unnest(CASE WHEN len(tok) < 8 THEN [stem] ELSE list_transform(range(1, len(tok) - 6), i -> array_to_string(tok[i:i + 7], ' ')) END) AS s FROM toks)),
+  SELECT doc_id, unnest(CASE WHEN len(tok) < 8 THEN [stem] ELSE list_transform(range(1, len(tok) - 6), lambda i: array_to_string(tok[i:i + 7], ' ')) END) AS s FROM toks)),
 rare AS (SELECT s FROM sh GROUP BY s HAVING count(*) BETWEEN 2 AND 50),
 kept AS (SELECT sh.* FROM sh JOIN rare USING (s)),
 pairs AS (SELECT DISTINCT a.doc_id AS i, b.doc_id AS j FROM kept a JOIN kept b ON a.s = b.s AND a.doc_id < b.doc_id),
@@ -46,9 +46,9 @@ def vocab_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _SPACE = r"[\s\x0b\x1c-\x1f\x85\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 ROW_WORDS = f"""lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
-row_words AS (SELECT list_filter(list_transform(regexp_split_to_array(line, '{_SPACE}+'), w -> lower(trim(w, '.,;:!?()[]{{}}"'''))), w -> regexp_full_match(w, '[a-z]+')) AS ws FROM lines)"""
+row_words AS (SELECT list_filter(list_transform(regexp_split_to_array(line, '{_SPACE}+'), lambda w: lower(trim(w, '.,;:!?()[]{{}}"'''))), lambda w: regexp_full_match(w, '[a-z]+')) AS ws FROM lines)"""
 VOCAB_WORDS = f"WITH {ROW_WORDS} SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM row_words) GROUP BY word"
-VOCAB_PAIRS = f"WITH {ROW_WORDS}, p AS (SELECT unnest(list_transform(range(1, len(ws)), i -> [ws[i], ws[i + 1]])) AS p FROM row_words WHERE len(ws) > 1) SELECT p[1] AS w1, p[2] AS w2, count(*) AS n FROM p GROUP BY 1, 2"
+VOCAB_PAIRS = f"WITH {ROW_WORDS}, p AS (SELECT unnest(list_transform(range(1, len(ws)), lambda i: [ws[i], ws[i + 1]])) AS p FROM row_words WHERE len(ws) > 1) SELECT p[1] AS w1, p[2] AS w2, count(*) AS n FROM p GROUP BY 1, 2"
 
 
 def numeric_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,9 +124,9 @@ def qa_suspects_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FUNCTION = ", ".join(f"'{w}'" for w in vocab.FUNCTION_WORDS)
 QA_SUSPECTS_PAIRS = f"""
 WITH {ROW_WORDS}, v AS (SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM row_words) GROUP BY word),
-p AS (SELECT p[1] AS w1, p[2] AS w2 FROM (SELECT unnest(list_transform(range(1, len(ws)), i -> [ws[i], ws[i + 1]])) AS p FROM row_words WHERE len(ws) > 1) GROUP BY 1, 2 HAVING count(*) >= 2),
+p AS (SELECT p[1] AS w1, p[2] AS w2 FROM (SELECT unnest(list_transform(range(1, len(ws)), lambda i: [ws[i], ws[i + 1]])) AS p FROM row_words WHERE len(ws) > 1) GROUP BY 1, 2 HAVING count(*) >= 2),
 t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[A-Za-z]{{2,}}') AS t FROM documents),
-near AS (SELECT doc_id, x[1] AS a, x[2] AS b FROM (SELECT doc_id, unnest(list_transform(range(1, len(t)), i -> [t[i], t[i + 1]])) AS x FROM t WHERE len(t) > 1))
+near AS (SELECT doc_id, x[1] AS a, x[2] AS b FROM (SELECT doc_id, unnest(list_transform(range(1, len(t)), lambda i: [t[i], t[i + 1]])) AS x FROM t WHERE len(t) > 1))
 SELECT doc_id, a, b, count(*) AS n FROM near
 JOIN v j ON j.word = lower(a) || lower(b) LEFT JOIN v x ON x.word = lower(a) LEFT JOIN v y ON y.word = lower(b)
 LEFT JOIN p ON p.w1 = lower(a) AND p.w2 = lower(b)
@@ -146,7 +146,7 @@ def token_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TOKEN_REPAIR = f"""
 WITH {ROW_WORDS}, v AS (SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM row_words) GROUP BY word),
-p AS (SELECT p[1] AS h, p[2] AS t, count(*) AS n FROM (SELECT unnest(list_transform(range(1, len(ws)), i -> [ws[i], ws[i + 1]])) AS p FROM row_words WHERE len(ws) > 1) GROUP BY 1, 2),
+p AS (SELECT p[1] AS h, p[2] AS t, count(*) AS n FROM (SELECT unnest(list_transform(range(1, len(ws)), lambda i: [ws[i], ws[i + 1]])) AS p FROM row_words WHERE len(ws) > 1) GROUP BY 1, 2),
 tok AS (SELECT doc_id, unnest(regexp_split_to_array(replace(replace(text, ' the ', 'the '), ', ', ','), '{_SPACE}+')) AS token FROM documents WHERE text IS NOT NULL),
 d AS (SELECT DISTINCT token FROM tok),
 comma AS (SELECT token, replace(token, ',', ', ') AS repaired FROM d WHERE regexp_full_match(token, '[A-Za-z]{{3,}},[A-Za-z]{{3,}}')

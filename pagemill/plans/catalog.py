@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audit_queries
+from . import audit_queries, layout_queries, review_queries, stream_queries
 
-_PARTS = (audit_queries,)
+_PARTS = (audit_queries, review_queries, layout_queries, stream_queries)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: q for part in _PARTS for name, q in part.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
