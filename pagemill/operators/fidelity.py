@@ -28,14 +28,15 @@ def _letters(x: Column) -> Column:
 
 
 def _break_in_word(before: Column, after: Column) -> Column:
-    """Whether a break stands where the source has two characters next to each other, in equal character streams."""
+    """Whether a break stands where the source has two characters next to each other; False where separators went, too."""
+    bare = lambda x: T.replaced(x, r"(?U)</?[Bb][Rr]\s*/?>|\s+", "")
     spaced = lambda x: T.replaced(T.replaced(x, r"</?[Bb][Rr]\s*/?>", "\x01"), r"(?U)\s+", "\x02")
     # the source with its gaps kept, the proposal with its breaks kept; a break counts if the source has no gap there
     source = T.characters(T.replaced(T.replaced(spaced(before), "[\x01\x02]+", "\x02"), "^\x02|\x02$", ""))
     target = T.characters(T.replaced(T.replaced(T.replaced(spaced(after), "\x02", ""), "\x01+", "\x01"), "^\x01|\x01$", ""))
     gaps = F.aggregate(source, F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("at")), lambda s, x: F.when(x == "\x02", F.struct(s["n"].alias("n"), F.array_append(s["at"], s["n"]).alias("at"))).otherwise(F.struct((s["n"] + 1).alias("n"), s["at"].alias("at"))), lambda s: s["at"])
     breaks = F.aggregate(target, F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("at")), lambda s, x: F.when(x == "\x01", F.struct(s["n"].alias("n"), F.array_append(s["at"], s["n"]).alias("at"))).otherwise(F.struct((s["n"] + 1).alias("n"), s["at"].alias("at"))), lambda s: s["at"])
-    return F.size(F.array_except(breaks, gaps)) > 0
+    return (F.length(bare(before)) == F.length(bare(after))) & (F.size(F.array_except(breaks, gaps)) > 0)
 
 
 def cell_kind(before: Column, after: Column, evidence: Column) -> Column:
