@@ -130,7 +130,7 @@ def common_prefixes(data: np.ndarray, ends: np.ndarray, order: np.ndarray) -> np
     """Kasai: bytes that each of ``order`` shares with the one before it; texts end at ``ends[place]``.
 
     In text order a place whose predecessor is just one after its left neighbour's shares one byte
-    less than the neighbour; only the others are compared, eight bytes at once.
+    less than the neighbour, while that has a byte; only the others are compared, eight bytes at once.
     """
     if len(order) < 2:
         return np.zeros(len(order), np.int64)
@@ -140,20 +140,27 @@ def common_prefixes(data: np.ndarray, ends: np.ndarray, order: np.ndarray) -> np
     q = before[place]
     head = np.ones(len(place), bool)
     head[1:] = (place[1:] != place[:-1] + 1) | (q[1:] != q[:-1] + 1)
-    p, q = place[head], q[head]
-    limit = np.minimum(ends(p) - p, ends(q) - q)
     padded = np.concatenate([data, np.zeros(16, np.uint8)])
     word = np.ndarray((len(data) + 8,), "<u8", padded.data, strides=(1,))
-    shared, live = np.zeros(len(p), np.int64), np.arange(len(p))
-    while len(live):
-        diff = word[p[live] + shared[live]] ^ word[q[live] + shared[live]]
-        low = diff & (~diff + np.uint64(1))
-        shared[live] += np.where(diff == 0, 8, np.log2(np.maximum(low, 1).astype(np.float64)).astype(np.int64) >> 3)
-        live = live[(diff == 0) & (shared[live] < limit[live])]
-    shared = np.minimum(shared, limit)
+
+    def compared(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        limit = np.minimum(ends(p) - p, ends(q) - q)
+        shared, live = np.zeros(len(p), np.int64), np.arange(len(p))
+        while len(live):
+            diff = word[p[live] + shared[live]] ^ word[q[live] + shared[live]]
+            low = diff & (~diff + np.uint64(1))
+            shared[live] += np.where(diff == 0, 8, np.log2(np.maximum(low, 1).astype(np.float64)).astype(np.int64) >> 3)
+            live = live[(diff == 0) & (shared[live] < limit[live])]
+        return np.minimum(shared, limit)
+
     run = np.cumsum(head) - 1
+    found = compared(place[head], q[head])[run] - (place - place[head][run])
+    # the rule says nothing beyond the first byte that differs: those places are compared themselves
+    past = found <= 0
+    past &= ~head
+    found[past] = compared(place[past], q[past])
     common = np.zeros(len(data) + 1, np.int64)
-    common[place] = shared[run] - (place - p[run])
+    common[place] = found
     return np.concatenate([[0], common[order[1:]]])
 
 
