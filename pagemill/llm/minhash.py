@@ -16,8 +16,8 @@ from .staging import Staging
 
 #: A pair at the threshold 0.8 shares none of 28 bands of 4 with probability 4e-7.
 BANDS, ROWS = 28, 4
-#: Estimates from 112 minima are off by 0.04 (one deviation); pairs estimated 0.2 below the threshold are not verified.
-SLACK = 0.2
+#: Estimates from 112 minima are off by 0.04 (one deviation); pairs estimated four deviations below the threshold are not verified.
+SLACK = 0.16
 
 _rng = np.random.default_rng(7919)
 _A = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -52,14 +52,25 @@ def _signed(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
         )
 
 
+def _likely(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs whose signatures do not rule the link out."""
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
+        part = batch.filter(pa.array((a == b).mean(axis=1) * 100 >= percent - 100 * SLACK))
+        yield pa.RecordBatch.from_arrays([part.column("src"), part.column("dst")], names=["src", "dst"])
+
+
 def _verified(batches: Iterable[pa.RecordBatch], n: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo in range(0, batch.num_rows, 64):
-            part = batch.slice(lo, 64)
+        for lo in range(0, batch.num_rows, 256):
+            part = batch.slice(lo, 256)
             sig = [[np.frombuffer(x, np.uint32) for x in part.column(c).to_pylist()] for c in ("sig_a", "sig_b")]
             likely = np.array([(x == y).mean() * 100 >= percent - 100 * SLACK for x, y in zip(*sig, strict=True)], bool)
             part = part.filter(pa.array(likely))
-            sets = [shingles(*word_hashes(*buffers(part.column(c)), SPACED), n) for c in ("text_a", "text_b")]
+            texts = [part.column(c).to_pylist() for c in ("text_a", "text_b")]
+            distinct = list(dict.fromkeys(texts[0] + texts[1]))
+            known = dict(zip(distinct, shingles(*word_hashes(*buffers(pa.array(distinct, pa.large_string())), SPACED), n), strict=True))
+            sets = [[known[t] for t in column] for column in texts]
             linked = []
             for x, y in zip(*sets, strict=True):
                 both = len(np.intersect1d(x, y, assume_unique=True))
@@ -92,8 +103,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
     classes = stage.write(known.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     reps = known.join(classes, "digest").where("doc_id = rep")
     slots = reps.select("doc_id", "n_shingles", F.explode("bands").alias("band"))
-    shared = slots.groupBy("band").agg(F.min("doc_id").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    buckets = stage.write(slots.join(shared.drop("n"), "band"), "buckets")
+    shared = slots.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    crowded = stage.write(slots.join(shared, "band"), "crowded")
+    # the middle of a group of copies shares the most buckets with the most others
+    weight = crowded.groupBy("doc_id").agg(F.sum("n").alias("weight"))
+    weighed = crowded.drop("n").join(weight, "doc_id")
+    leaders = weighed.groupBy("band").agg(F.max_by("doc_id", F.struct("weight", -F.col("doc_id"))).alias("leader"))
+    buckets = stage.write(crowded.drop("n").join(leaders, "band"), "buckets")
     near = buckets.select("doc_id").distinct()
     texts = rows.where("doc_id IS NOT NULL").join(near, "doc_id", "left_semi").join(reps.select("doc_id", "sig"), "doc_id")
     texts = stage.write(texts, "texts")
@@ -104,19 +120,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
         both = pairs.join(a, "src").join(b, "dst")
         return both.mapInArrow(lambda it: _verified(it, words, percent), "src long, dst long")
 
-    stars = buckets.where("doc_id <> leader").select(F.col("doc_id").alias("src"), F.col("leader").alias("dst")).distinct()
+    stars = buckets.where("doc_id <> leader").select(F.greatest("doc_id", "leader").alias("src"), F.least("doc_id", "leader").alias("dst")).distinct()
     links = stage.write(confirmed(stars), "links")
     roots = components(links, stage, "first")
 
     placed = buckets.join(roots, buckets["doc_id"] == roots["node"], "left").select("band", "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("root"))
-    split = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
-    open_ = stage.write(placed.join(split, "band"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    across = x.join(y, F.expr(f"x.band = y.band AND x.root > y.root AND 100 * x.n_shingles >= {percent} * y.n_shingles AND 100 * y.n_shingles >= {percent} * x.n_shingles"))
-    pairs = across.select(F.col("x.doc_id").alias("src"), F.col("y.doc_id").alias("dst")).distinct()
-    more = stage.write(confirmed(pairs.join(stars, ["src", "dst"], "left_anti").join(stars.select(F.col("dst").alias("src"), F.col("src").alias("dst")), ["src", "dst"], "left_anti")), "more")
-    roots = components(links.union(more), stage, "last")
-    stage.drop("buckets", "texts", "open", "links", "more")
+    sizes = placed.groupBy("band", "root").agg(F.count("*").alias("n"))
+    split = sizes.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").drop("roots")
+    own_bands = reps.select("doc_id", "bands", "sig")
+    open_ = stage.write(placed.join(split, "band").join(own_bands, "doc_id"), "open")
+    # members of a bucket's largest component are not held against each other: only what is outside it is against all,
+    # each pair in one of the bands that it shares
+    x, y = open_.where("root <> main").alias("x"), open_.alias("y")
+    near_size = f"100 * x.n_shingles >= {percent} * y.n_shingles AND 100 * y.n_shingles >= {percent} * x.n_shingles"
+    across = x.join(y, F.expr(f"x.band = y.band AND x.root <> y.root AND {near_size} AND array_min(array_intersect(x.bands, y.bands)) = x.band"))
+    likely = across.select(F.greatest("x.doc_id", "y.doc_id").alias("src"), F.least("x.doc_id", "y.doc_id").alias("dst"), F.col("x.sig").alias("sig_a"), F.col("y.sig").alias("sig_b"))
+    pairs = likely.mapInArrow(lambda it: _likely(it, percent), "src long, dst long").distinct()
+    more = stage.write(confirmed(pairs.join(stars, ["src", "dst"], "left_anti")), "more")
+    if not more.isEmpty():
+        roots = components(roots.select(F.col("node").alias("src"), F.col("root").alias("dst")).union(more), stage, "last")
+    stage.drop("crowded", "buckets", "texts", "open", "links", "more")
 
     of_class = classes.join(roots, classes["rep"] == roots["node"], "left").select("digest", F.coalesce("root", "rep").alias("class_root"))
     out = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(of_class, "digest", "left")
