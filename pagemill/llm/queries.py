@@ -75,4 +75,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_sharding,
     )
 }
-ORACLES: dict[str, str] = {}
+_COMPONENTS = """reach(id, root) AS (SELECT id, id FROM nodes UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.id),
+comp AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id)"""
+_FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP1 = f"""WITH RECURSIVE usable AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+  AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+nodes AS (SELECT vec_id AS id FROM embeddings),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= 0.98),
+{_COMPONENTS}, n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, id = component_id AS kept FROM comp LEFT JOIN n ON a = id"""
+
+# pairs share one of the rarest shingles of either's prefix, or they cannot reach four fifths
+OP2 = f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_FOLD}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 2 THEN [array_to_string(w, chr(1))] ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || chr(1) || w[i + 1])) END AS s FROM w),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets), nodes AS (SELECT doc_id AS id FROM documents),
+x AS (SELECT doc_id, unnest(s) AS s FROM sets), f AS (SELECT s, count(*) AS f FROM x GROUP BY s),
+ranked AS (SELECT doc_id, s, n, row_number() OVER (PARTITION BY doc_id ORDER BY f, s) AS rn FROM x JOIN f USING (s) JOIN sizes USING (doc_id)),
+pre AS (SELECT doc_id, s, n FROM ranked WHERE rn <= n - (80 * n + 99) // 100 + 1),
+cand AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb FROM pre a JOIN pre b ON a.s = b.s AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+hit AS (SELECT c.a, c.b, any_value(na + nb) AS total, count(*) AS k FROM cand c JOIN x p ON p.doc_id = c.a JOIN x q ON q.doc_id = c.b AND q.s = p.s GROUP BY c.a, c.b),
+half AS (SELECT a, b FROM hit WHERE 100 * k >= 80 * (total - k)), links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+{_COMPONENTS}
+SELECT id AS doc_id, n AS n_shingles, component_id, id = component_id AS kept FROM comp JOIN sizes ON doc_id = id"""
+
+OP9 = f"""WITH d AS (SELECT doc_id, regexp_extract_all({_FOLD}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all({_FOLD}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[k:k + 12], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS k FROM i WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT n FROM win),
+grams AS (SELECT doc_id, k, n, array_to_string(w[k:k + n - 1], ' ') AS g FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, lens WHERE len(w) >= n)),
+occ AS (SELECT doc_id, k, grams.n, item_id FROM grams JOIN win ON grams.g = win.g AND grams.n = win.n),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM occ) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM occ) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+#: The others learn, tokenise, fingerprint bytes or match with errors, which SQL cannot express.
+ORACLES: dict[str, str] = {"op1_embedding_near_dedup": OP1, "op2_minhash_near_dedup": OP2, "op9_decontamination": OP9}
