@@ -7,11 +7,12 @@ rows). A null text has no bytes.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
 #: Bytes of text that are worked on at once; one longer text makes a chunk of its own.
@@ -35,6 +36,32 @@ _FOLDED = _TABLE[FOLD]
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+#: Bytes of a batch that a Python worker is sent at once; Spark's own bound is eight times that.
+BATCH_BYTES = "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what a worker holds of long texts. The setting is of the session, read when a plan starts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def release() -> None:
+    """Gives memory that a task no longer needs back to the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def releasing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches``, and ``release`` at their end."""
+    try:
+        yield from batches
+    finally:
+        release()
+
+
 def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     col = col.cast(pa.large_string())
     if col.null_count:
@@ -163,6 +190,7 @@ def with_columns(df: DataFrame, text: str, fields: list[StructField], make: Call
     Columns of the same names in ``df`` give way to the new ones. ``make`` is called once in
     each task and returns what is called for each chunk.
     """
+    small_batches(df.sparkSession)
     new = [f.name for f in fields]
     base = df.drop(*[n for n in new if n.lower() != text.lower()])
     keep = [c for c in base.columns if c.lower() not in {n.lower() for n in new}]
@@ -174,4 +202,4 @@ def with_columns(df: DataFrame, text: str, fields: list[StructField], make: Call
             cols = call(batch, data, offs)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + cols, names=keep + new)
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(lambda it: releasing(run(it)), schema)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow import SPACED, buffers, chain, ragged, shingles, text_chunks, word_hashes
+from .arrow import SPACED, buffers, chain, ragged, releasing, shingles, text_chunks, word_hashes
 from .components import components
 from .staging import Staging
 
@@ -98,7 +98,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
     """
     stage = Staging(spark, "minhash")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = stage.write(rows.mapInArrow(lambda it: _signed(it, words), "doc_id long, n_shingles long, digest binary, bands array<long>, sig binary"), "signed")
+    signed = stage.write(rows.mapInArrow(lambda it: releasing(_signed(it, words)), "doc_id long, n_shingles long, digest binary, bands array<long>, sig binary"), "signed")
     known = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     classes = stage.write(known.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     reps = known.join(classes, "digest").where("doc_id = rep")
@@ -118,7 +118,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
         a = texts.select(F.col("doc_id").alias("src"), F.col("text").alias("text_a"), F.col("sig").alias("sig_a"))
         b = texts.select(F.col("doc_id").alias("dst"), F.col("text").alias("text_b"), F.col("sig").alias("sig_b"))
         both = pairs.join(a, "src").join(b, "dst")
-        return both.mapInArrow(lambda it: _verified(it, words, percent), "src long, dst long")
+        return both.mapInArrow(lambda it: releasing(_verified(it, words, percent)), "src long, dst long")
 
     stars = buckets.where("doc_id <> leader").select(F.greatest("doc_id", "leader").alias("src"), F.least("doc_id", "leader").alias("dst")).distinct()
     links = stage.write(confirmed(stars), "links")

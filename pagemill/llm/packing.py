@@ -16,14 +16,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow import text_chunks
+from .arrow import releasing, text_chunks
 from .staging import Staging
 
 CAPACITY = 2048
 #: Pieces that are packed together in one task, about; more pieces make more groups alike.
 GROUP_PIECES = 50_000
 #: Tokens of so many distinct words are remembered in a worker, then forgotten.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 #: The vocabulary's own pattern of words.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -148,7 +148,7 @@ def packed(spark: SparkSession, docs: DataFrame, vocabulary: str, capacity: int
     """
     stage = Staging(spark, "packing")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    pieces = stage.write(rows.mapInArrow(lambda it: _pieces(it, vocabulary, capacity, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long, uid long"), "pieces")
+    pieces = stage.write(rows.mapInArrow(lambda it: releasing(_pieces(it, vocabulary, capacity, end_id)), "doc_id long, piece int, start long, length long, ids_crc32 long, uid long"), "pieces")
     groups = max(1, round(pieces.count() / group_pieces))
 
     def place(part: pd.DataFrame) -> pd.DataFrame:

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .arrow import small_batches
+
 
 class Staging:
     """Writes tables under ``spark.checkpoint.dir``; lineage ends there, so lost executors cost nothing.
@@ -17,6 +19,7 @@ class Staging:
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
+        small_batches(spark)
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
             if not spark.sparkContext.master.startswith("local"):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .arrow import Hasher, buffers, row_chunks
+from .arrow import Hasher, buffers, releasing, row_chunks
 from .staging import Staging
 
 WIDTH = 100
@@ -421,7 +421,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, width: int = WIDTH, anchor
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     new = {f.name.lower() for f in _NEW}
     base = docs.select(*[c for c in docs.columns if c.lower() not in new])
-    first = stage.write(base.mapInArrow(lambda it: _sharded(it, doc_id, text, width, anchor, shard_bytes, buckets), _ROWS), "shards")
+    first = stage.write(base.mapInArrow(lambda it: releasing(_sharded(it, doc_id, text, width, anchor, shard_bytes, buckets)), _ROWS), "shards")
     whole = first.where(F.col("kind") != _ANCHORS)
     common = first.where(F.col("kind") == _ANCHORS).groupBy("bucket").applyInArrow(lambda t: _common_anchors(t, hot), _ROWS)
     sent = whole.unionByName(common).groupBy("shard").applyInArrow(lambda t: _sent(t, doc_id, text, width, anchor, buckets), _ROWS)
