@@ -165,6 +165,7 @@ def _with_hits(docs: DataFrame, spark: SparkSession, ix: Index, text: str, more:
             delta = np.zeros(len(hashes) + 1, np.int64)
             np.add.at(delta, start, 1)
             np.add.at(delta, start + index.length[window], -1)
+            inside = np.cumsum(delta) > 0
             doc = np.searchsorted(first, start, "right") - 1
             old = [batch.column(c).to_pylist() if more else [[]] * batch.num_rows for c in names]
             spans, items = [], []
@@ -175,7 +176,7 @@ def _with_hits(docs: DataFrame, spark: SparkSession, ix: Index, text: str, more:
                 found = np.asarray(old[1][d], np.int64)
                 if hi > lo:
                     a, b = first[d], first[d + 1]
-                    hit = np.cumsum(delta[a:b]) > 0
+                    hit = inside[a:b].copy()
                     for x, y in s.reshape(-1, 2):
                         hit[x:y] = True
                     s = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
