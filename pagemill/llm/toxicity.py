@@ -153,9 +153,12 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, train_docs: int = T
     picked = {}
     for k in (0, 1):
         share = F.lit(min(1 << 30, int(2 * train_docs / counts[k] * (1 << 30)) + 1))
-        some = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share).join(known.where(F.col("toxic") == k).select("doc_id").distinct(), "doc_id", "left_semi")
-        some = some.select(F.substring("text", 1, TRAIN_CHARS).alias("text"), F.xxhash64("text").alias("h")).dropDuplicates(["h"])
-        picked[k] = [r["text"] for r in some.orderBy("h").limit(train_docs).collect()]
+        # ids first, then the texts of the few: no text is shuffled
+        keys = rows.select("doc_id", F.xxhash64("text").alias("h")).where(F.pmod("h", F.lit(1 << 30)) < share)
+        keys = keys.join(known.where(F.col("toxic") == k).select("doc_id").distinct(), "doc_id", "left_semi").groupBy("h").agg(F.min("doc_id").alias("doc_id"))
+        ids = [r["doc_id"] for r in keys.orderBy("h").limit(train_docs).collect()]
+        texts = rows.where(F.col("doc_id").isin(ids)).select(F.substring("text", 1, TRAIN_CHARS).alias("text"), F.xxhash64("text").alias("h")).collect()
+        picked[k] = [t for _, t in sorted({r["h"]: r["text"] for r in texts}.items())]
     if min(map(len, picked.values())) < 2:
         return None
     return fit(picked[1], picked[0], counts[1] / (counts[0] + counts[1]))
