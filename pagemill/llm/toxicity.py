@@ -17,9 +17,8 @@ from .arrow import with_columns
 #: Bytes of a window at most; windows end at white space where there is any.
 WINDOW = 48
 LEVEL = 6
-#: Labelled documents of each class that are learned from, at most, and bytes of each.
+#: Labelled documents of each class that are learned from, at most; their texts are whole.
 TRAIN_DOCS = 3000
-TRAIN_CHARS = 20_000
 #: Windows that one dictionary is trained on, at most.
 TRAIN_WINDOWS = 60_000
 ORDINARY_BYTES = 32 << 10
@@ -140,7 +139,7 @@ def fit(toxic: list[str], ordinary: list[str], share: float) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, train_docs: int = TRAIN_DOCS, doc_id: str = "doc_id", text: str = "text") -> Model | None:
-    """Learns from at most ``train_docs`` documents of each class, and ``TRAIN_CHARS`` of each, taken by a hash of the text.
+    """Learns from the whole texts of at most ``train_docs`` documents of each class, taken by a hash of the text.
 
     Null texts, ids and labels are passed over; with less than two documents of a class there is
     no model. The share of toxic ones is that of all labelled documents.
@@ -157,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, train_docs: int = T
         keys = rows.select("doc_id", F.xxhash64("text").alias("h")).where(F.pmod("h", F.lit(1 << 30)) < share)
         keys = keys.join(known.where(F.col("toxic") == k).select("doc_id").distinct(), "doc_id", "left_semi").groupBy("h").agg(F.min("doc_id").alias("doc_id"))
         ids = [r["doc_id"] for r in keys.orderBy("h").limit(train_docs).collect()]
-        texts = rows.where(F.col("doc_id").isin(ids)).select(F.substring("text", 1, TRAIN_CHARS).alias("text"), F.xxhash64("text").alias("h")).collect()
+        texts = rows.where(F.col("doc_id").isin(ids)).select("text", F.xxhash64("text").alias("h")).collect()
         picked[k] = [t for _, t in sorted({r["h"]: r["text"] for r in texts}.items())]
     if min(map(len, picked.values())) < 2:
         return None

@@ -74,6 +74,21 @@ def test_toxicity(spark):
     assert toxicity.toxicity(spark, docs.limit(0), labels).count() == 0
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    words = ["".join(RNG.choice(list("abcdeghilmnorst"), RNG.integers(2, 8))) for _ in range(300)]
+
+    def text(bad):
+        plain = " ".join(RNG.choice(words, 5000))
+        assert len(plain) > 20_000
+        return plain + " " + " ".join(f"{RNG.choice(words)} you worthless scum" if bad else str(RNG.choice(words)) for _ in range(20))
+
+    docs = spark.createDataFrame([(i, text(i % 2)) for i in range(24)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(24)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, F.lit(True))
+    new = spark.createDataFrame([(i, text(i % 2)) for i in range(8)], "doc_id long, text string")
+    assert all(r.predicted == r.doc_id % 2 for r in toxicity.score(spark, new, model).collect())
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
