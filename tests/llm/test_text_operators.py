@@ -1,10 +1,12 @@
 """Small tables with nulls, empty and long texts, ties, repeats and clashing columns, against plain Python."""
 
 import hashlib
+import math
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pagemill.llm import decontaminate, language, licenses, minhash, packing, queries, sharding, suffix, token_counts
@@ -221,6 +223,16 @@ def test_token_counts_match_the_library(spark, docs, none):
     assert token_counts.token_counts(spark, none, vocab).count() == 0
 
 
+def test_minhash_filter_misses_less_than_the_bands():
+    n = minhash.BANDS * minhash.ROWS
+    a = np.arange(n, dtype=np.uint32)
+    rows = [np.where(np.arange(n) < k, a, a + np.uint32(1000)).tobytes() for k in range(n + 1)]
+    batch = pa.RecordBatch.from_pydict({"src": list(range(n + 1)), "dst": [0] * (n + 1), "sig_a": [a.tobytes()] * (n + 1), "sig_b": rows})
+    least = min(next(minhash._likely([batch], 80)).column("src").to_pylist())
+    miss = sum(math.comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(least))
+    assert miss <= (1 - 0.8**minhash.ROWS) ** minhash.BANDS
+
+
 def test_licenses(spark, none):
     texts = ["All Rights  Reserved. x all rights reserved", "cc by-nc; CC\nBY", "GNU General Public License", "licensd under the Apache-License, version 2.0", "calling all rights reservedly", "ccby", None, "", "all rights all rights reserved"]
     got = {r.doc_id: r for r in licenses.licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("score", licenses_literal())).collect()}
