@@ -18,8 +18,10 @@ UNKNOWN = "und"
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
-#: At most about so many labelled documents are learned from, taken by a hash of their text.
+#: Above about so many labelled documents each language learns from its share of them, taken by a hash of the text:
+#: all of its documents where they are fewer than what the others leave it, and LANG_DOCS of them in any case.
 TRAIN_DOCS = 40_000
+LANG_DOCS = 1_000
 #: Languages that are told apart at most: those with the most labelled documents.
 MAX_LANGS = 256
 
@@ -73,10 +75,21 @@ def _counted(batches: Iterable[pa.RecordBatch], index: dict[str, int], buckets:
     yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(counts[k, bucket])], names=["k", "bucket", "n"])
 
 
-def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", train_docs: int = TRAIN_DOCS, buckets: int = BUCKETS, max_langs: int = MAX_LANGS) -> Model:
-    """Learns from the labelled rows for which ``learn`` holds, about ``train_docs`` of them at most.
+def _quota(counts: list[int], total: int) -> int:
+    """The most that each may have so that all together have no more than ``total``."""
+    left = total
+    for i, n in enumerate(sorted(counts)):
+        if n * (len(counts) - i) > left:
+            return left // (len(counts) - i)
+        left -= n
+    return max(counts)
 
-    The driver receives counts of at most ``max_langs * buckets`` cells, whatever the input. Rows
+
+def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", train_docs: int = TRAIN_DOCS, buckets: int = BUCKETS, max_langs: int = MAX_LANGS, lang_docs: int = LANG_DOCS) -> Model:
+    """Learns from the labelled rows for which ``learn`` holds, about ``train_docs`` of them or ``lang_docs`` of each language.
+
+    The quota is one for all languages: a language with fewer rows is learned from all of them, a
+    larger one from a hash share. A language without a single letter in its rows is left out. The driver receives counts of at most ``max_langs * buckets`` cells, whatever the input. Rows
     with null text or label are passed over; no rows at all give a model that answers ``und``.
     """
     rows = docs.where(learn).select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
@@ -85,11 +98,16 @@ def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang"
     index, total = {x: i for i, x in enumerate(langs)}, sum(r["count"] for r in per_lang)
     if not langs:
         return Model([], np.zeros(0), np.zeros((buckets, 0)))
-    if total > train_docs:
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(train_docs / total * (1 << 30)))
+    quota = max(lang_docs, _quota([r["count"] for r in per_lang], train_docs))
+    shares = [F.lit(x) for r in per_lang if r["count"] > quota for x in (r["lang"], int(quota / r["count"] * (1 << 30)))]
+    if shares:
+        share = F.coalesce(F.create_map(*shares)[F.col("lang")], F.lit(1 << 30))
+        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share)
     counts = np.zeros((len(langs), buckets))
     cells = rows.mapInArrow(lambda it: _counted(it, index, buckets), "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n")).toArrow()
     counts[cells["k"].to_numpy(), cells["bucket"].to_numpy()] = cells["n"].to_numpy()
+    known = counts.sum(axis=1) > 0
+    langs, counts = [x for x, k in zip(langs, known, strict=True) if k], counts[known]
     prior = np.array([{r["lang"]: r["count"] for r in per_lang}[x] for x in langs], float)
     probs = np.log(counts + SMOOTHING) - np.log(counts.sum(axis=1, keepdims=True) + SMOOTHING * buckets)
     return Model(langs, np.log(prior / prior.sum()), np.ascontiguousarray(probs.T))

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from pagemill.llm import decontaminate, language, licenses, minhash, packing, queries, sharding, suffix, token_counts
 
@@ -264,3 +265,19 @@ def test_language_held_out(spark, none):
     known = {r.doc_id: (r.lang_pred, r.score) for r in language.language_id(spark, odd).collect()}
     assert known[1] == known[2] == known[3] == ("und", 0.0) and all(0 <= s <= 1 for _, s in known.values())
     assert language.language_id(spark, none.withColumn("lang", licenses_literal())).count() == 0
+
+
+def test_language_rare_ones_are_learned(spark):
+    rng = np.random.default_rng(3)
+    letters = {"common": "abcdefgh", "one": "ijklm", "two": "nopqr", "three": "stuvw"}
+
+    def text(lang):
+        return " ".join("".join(rng.choice(list(letters[lang]), 4)) for _ in range(20))
+
+    rows = [(lang, text(lang)) for lang in letters for _ in range(3000 if lang == "common" else 6)] + [("blank", "12 34")] * 3
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    for more in ({}, {"lang_docs": 2}):
+        model = language.train(docs, F.lit(True), train_docs=100, **more)
+        assert model.langs == sorted(letters)
+        assert all(model.score(text(lang))[0] == lang for lang in letters for _ in range(5))
+    assert [language._quota([5, 100, 50], t) for t in (9, 35, 100, 155)] == [3, 15, 47, 100]
