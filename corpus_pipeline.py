@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 from pagemill.llm import decontaminate, language, minhash, packing, queries, suffix
 from pagemill.llm.staging import Staging, table
 
-#: A document whose best language has a lower posterior has no one language.
-LEAST_POSTERIOR = 0.5
-
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a language: no letters, or no language more likely than all others together."""
-    known = language.identify(spark, docs, language.train(docs, ~language.held_out()))
-    return known.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_POSTERIOR)).select(docs.columns)
+    """Rejects documents without a letter; where no language could be learned, all pass."""
+    model = language.train(docs, ~language.held_out())
+    if not model.langs:
+        return docs
+    return language.identify(spark, docs, model).where(F.col("lang_pred") != language.UNKNOWN).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

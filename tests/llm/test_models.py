@@ -89,6 +89,17 @@ def test_toxicity_learns_from_whole_texts(spark):
     assert all(r.predicted == r.doc_id % 2 for r in toxicity.score(spark, new, model).collect())
 
 
+def test_pipeline_languages(spark):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string"
+    twins = [(i, "la casa de la playa", ("es", "pt", "gl")[i % 3]) for i in range(60)] + [(100, "la casa", None), (101, "12 !", "es"), (102, None, "es")]
+    docs = spark.createDataFrame(twins, schema)
+    assert {r.doc_id for r in corpus_pipeline.languages(spark, docs, "").collect()} == {*range(60), 100}
+    unknown = spark.createDataFrame([(i, "some text", None) for i in range(9)], schema)
+    assert {r.doc_id for r in corpus_pipeline.languages(spark, unknown, "").collect()} == set(range(9))
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
