@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+import heapq
 from dataclasses import dataclass
 
 import numpy as np
@@ -59,7 +61,7 @@ class Scanner:
     def __init__(self, notices: tuple[tuple[str, str, int], ...]) -> None:
         self.notices = [Notice(*n) for n in notices]
         # the first word may be cut by an edit only at its own place, so a match begins and ends at words
-        self._patterns = {n: regex.compile(f"(?b)(?: )(?P<m>{regex.escape(n.phrase, literal_spaces=True)}){{e<={n.edits}}}(?: )") for n in self.notices}
+        self._patterns = {n: regex.compile(f"(?b)(?<= )(?P<m>{regex.escape(n.phrase, literal_spaces=True)}){{e<={n.edits}}}(?= )") for n in self.notices}
 
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
         """``(start, end, notice, edits)``, by start; matches of one notice do not overlap but for exact ones."""
@@ -72,25 +74,38 @@ class Scanner:
                         out.append((at, at + len(n.phrase), k, 0))
                     at = text.find(n.phrase, at + 1)
                 continue
-            spans = []
+            places = set()
             for seed, place in n.seeds:
                 at = text.find(seed)
                 while at >= 0:
                     # a match begins within ``edits`` of where the seed puts it, and ends likewise
-                    spans.append((at - place - n.edits - 1, at - place + len(n.phrase) + n.edits + 1))
+                    places.add((max(at - place - n.edits - 1, 0), min(at - place + len(n.phrase) + n.edits + 1, len(text))))
                     at = text.find(seed, at + 1)
-            spans.sort()
-            merged: list[list[int]] = []
-            for lo, hi in spans:
-                if merged and lo <= merged[-1][1]:
-                    merged[-1][1] = max(hi, merged[-1][1])
-                else:
-                    merged.append([max(lo, 0), hi])
-            for lo, hi in merged:
-                for m in self._patterns[n].finditer(text, lo, min(hi, len(text)), overlapped=False):
-                    out.append((m.start("m"), m.end("m"), k, sum(m.fuzzy_counts)))
+            out += [(s, e, k, x) for s, e, x in self._near(n, text, places)]
         return sorted(out)
 
+    def _near(self, n: Notice, text: str, places: set[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """Best matches first; where one is taken, what lies before and behind it in a place is searched again."""
+        heap: list[tuple[int, int, int, int, int]] = []
+        taken: list[tuple[int, int, int]] = []
+
+        def search(lo: int, hi: int) -> None:
+            if hi - lo >= len(n.phrase) - n.edits + 2 and (m := self._patterns[n].search(text, lo, hi)):
+                heapq.heappush(heap, (sum(m.fuzzy_counts), m.start("m"), m.end("m"), lo, hi))
+
+        for lo, hi in places:
+            search(lo, hi)
+        while heap:
+            edits, start, end, lo, hi = heapq.heappop(heap)
+            at = bisect.bisect_left(taken, (end,)) - 1
+            if at >= 0 and taken[at][1] > start:
+                start, end, _ = taken[at]
+            else:
+                taken.insert(at + 1, (start, end, edits))
+            search(lo, min(start, hi))
+            search(max(end, lo), hi)
+        return taken
+
 
 _FIELDS = [
     StructField("n_words", LongType()),

@@ -234,6 +234,17 @@ def test_minhash_filter_misses_less_than_the_bands():
     assert miss <= (1 - 0.8**minhash.ROWS) ** minhash.BANDS
 
 
+def test_licenses_near_each_other():
+    scanner = licenses.Scanner((("mpl", "mozilla public license", 2),))
+    one, worse = "mozilla public license", "mozila public license"
+    for parts in ([one, one], [worse, "x", one], [one, worse, one, worse], [worse, worse, "and", one], [one] * 50, [worse] * 50):
+        places, at = [], 1
+        for p in parts:
+            places += [(at, at + len(p), 0, int(p == worse))] if p in (one, worse) else []
+            at += len(p) + 1
+        assert scanner.find(f" {' '.join(parts)} ") == places
+
+
 def test_licenses(spark, none):
     texts = ["All Rights  Reserved. x all rights reserved", "cc by-nc; CC\nBY", "GNU General Public License", "licensd under the Apache-License, version 2.0", "calling all rights reservedly", "ccby", None, "", "all rights all rights reserved"]
     got = {r.doc_id: r for r in licenses.licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("score", licenses_literal())).collect()}
