@@ -8,6 +8,7 @@ rows). A null text has no bytes.
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -32,9 +33,13 @@ ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _TABLE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
-_FOLDED = _TABLE[FOLD]
+#: Powers of the base and its inverse are kept for chunks of so many bytes; longer ones are made and forgotten.
+_KEPT_POWERS = 1 << 22
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
+#: Words of more bytes are hashed one by one.
+_WORD_BYTES = 64
+
 
 #: Bytes of a batch that a Python worker is sent at once; Spark's own bound is eight times that.
 BATCH_BYTES = "8m"
@@ -90,12 +95,18 @@ def text_chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int = CHUNK
             yield batch.slice(lo, hi - lo), data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
 
 
+def _power_table(base: int, n: int) -> np.ndarray:
+    p = np.full(n, base, np.uint64)
+    p[0] = 1
+    return np.cumprod(p)
+
+
 def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if n > _KEPT_POWERS:
+        return _power_table(_BASE, n), _power_table(_INVERSE, n)
     if len(_powers[0]) < n:
         for k, base in enumerate((_BASE, _INVERSE)):
-            p = np.full(max(n, 1 << 16), base, np.uint64)
-            p[0] = 1
-            _powers[k] = np.cumprod(p)
+            _powers[k] = _power_table(base, max(n, 1 << 16))
     return _powers[0][:n], _powers[1][:n]
 
 
@@ -110,17 +121,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Hasher:
-    """Hashes of any spans of one chunk, from prefix sums of a polynomial modulo 2**64."""
+    """Hashes of windows of one chunk, from prefix sums of a polynomial modulo 2**64.
+
+    Different windows may be made to agree on purpose, so equal hashes only say where to compare bytes.
+    """
 
-    def __init__(self, data: np.ndarray, fold: bool = False) -> None:
+    def __init__(self, data: np.ndarray) -> None:
         n = len(data)
         powers, self._inverse = _grown(n + 1)
         self._sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((_FOLDED if fold else _TABLE)[data] * powers[:n], out=self._sums[1:])
-
-    def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        h = (self._sums[ends] - self._sums[starts]) * self._inverse[starts]
-        return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        np.cumsum(_TABLE[data] * powers[:n], out=self._sums[1:])
 
     def windows(self, width: int) -> np.ndarray:
         """Of the ``width`` bytes from each place on."""
@@ -151,9 +161,27 @@ def words(data: np.ndarray, offs: np.ndarray, inside: np.ndarray, fold: bool = T
 
 
 def word_hashes(data: np.ndarray, offs: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of each word, A-Z folded, and the first word of each row."""
+    """A hash of each word, A-Z folded, and the first word of each row.
+
+    Eight bytes at a time are mixed into the hash by bijections, longer words go to BLAKE2b; no
+    sum or polynomial of the letters decides, so words cannot be paired up by their structure.
+    """
     starts, ends, first = words(data, offs, inside)
-    return Hasher(data, fold=True).spans(starts, ends), first
+    folded = np.concatenate([FOLD[data], np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", folded.data, strides=(1,))
+    length = ends - starts
+    h = mix(length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    live = np.flatnonzero(length <= _WORD_BYTES)
+    for i in range(0, _WORD_BYTES, 8):
+        live = live[length[live] > i]
+        if not len(live):
+            break
+        left = np.minimum(length[live] - i, 8).astype(np.uint64)
+        part = eight[starts[live] + i] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * left))
+        h[live] = mix(h[live] * np.uint64(0x9FB21C651E98DF25) + part)
+    for k in np.flatnonzero(length > _WORD_BYTES).tolist():
+        h[k] = int.from_bytes(hashlib.blake2b(folded[starts[k] : ends[k]], digest_size=8).digest(), "little")
+    return h, first
 
 
 def chain(hashes: list[np.ndarray]) -> np.ndarray:

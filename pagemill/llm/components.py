@@ -24,8 +24,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum((F.xxhash64("src", "dst") % (1 << 31)).cast("long"))).first()
-    return tuple(row)
+    """Tells sets of distinct edges apart: their number and the exclusive ors of two 64-bit hashes of each."""
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("src", "dst")), F.bit_xor(F.xxhash64("dst", F.lit(1), "src"))).first())
 
 
 def components(edges: DataFrame, stage: Staging, name: str = "cc") -> DataFrame:
