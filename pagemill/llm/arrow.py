@@ -10,6 +10,7 @@ from __future__ import annotations
 import ctypes
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -160,28 +161,62 @@ def words(data: np.ndarray, offs: np.ndarray, inside: np.ndarray, fold: bool = T
     return starts, ends, np.searchsorted(starts, offs)
 
 
-def word_hashes(data: np.ndarray, offs: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of each word, A-Z folded, and the first word of each row.
+@dataclass
+class Words:
+    """The words of a chunk: bytes ``start`` to ``end`` of ``folded`` (A-Z folded, eight bytes longer), a hash of each; row r has the words from ``first[r]`` on."""
 
-    Eight bytes at a time are mixed into the hash by bijections, longer words go to BLAKE2b; no
-    sum or polynomial of the letters decides, so words cannot be paired up by their structure.
-    """
+    folded: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    first: np.ndarray
+    hash: np.ndarray
+
+
+def _eights(folded: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number."""
+    return np.ndarray((len(folded) - 7,), "<u8", np.ascontiguousarray(folded).data, strides=(1,))
+
+
+def _low_bytes(n: np.ndarray) -> np.ndarray:
+    return np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * np.minimum(n, 8).astype(np.uint64))
+
+
+def word_table(data: np.ndarray, offs: np.ndarray, inside: np.ndarray) -> Words:
+    """Eight bytes at a time are mixed into a word's hash by bijections, longer words go to BLAKE2b:
+    no sum or polynomial of the letters decides, so words cannot be paired up by their structure."""
     starts, ends, first = words(data, offs, inside)
     folded = np.concatenate([FOLD[data], np.zeros(8, np.uint8)])
-    eight = np.ndarray((len(data) + 1,), "<u8", folded.data, strides=(1,))
-    length = ends - starts
+    eight, length = _eights(folded), ends - starts
     h = mix(length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     live = np.flatnonzero(length <= _WORD_BYTES)
     for i in range(0, _WORD_BYTES, 8):
         live = live[length[live] > i]
         if not len(live):
             break
-        left = np.minimum(length[live] - i, 8).astype(np.uint64)
-        part = eight[starts[live] + i] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * left))
-        h[live] = mix(h[live] * np.uint64(0x9FB21C651E98DF25) + part)
+        h[live] = mix(h[live] * np.uint64(0x9FB21C651E98DF25) + (eight[starts[live] + i] & _low_bytes(length[live] - i)))
     for k in np.flatnonzero(length > _WORD_BYTES).tolist():
         h[k] = int.from_bytes(hashlib.blake2b(folded[starts[k] : ends[k]], digest_size=8).digest(), "little")
-    return h, first
+    return Words(folded, starts, ends, first, h)
+
+
+def word_hashes(data: np.ndarray, offs: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word, A-Z folded, and the first word of each row."""
+    w = word_table(data, offs, inside)
+    return w.hash, w.first
+
+
+def same_words(a: Words, i: np.ndarray, b: Words, j: np.ndarray) -> np.ndarray:
+    """Whether the words ``i`` of ``a`` are, byte by byte, the words ``j`` of ``b``."""
+    p, q, length = a.start[i].astype(np.int64), b.start[j].astype(np.int64), (a.end[i] - a.start[i]).astype(np.int64)
+    same = length == b.end[j] - b.start[j]
+    x, y, at, live = _eights(a.folded), _eights(b.folded), 0, np.flatnonzero(same)
+    while len(live):
+        differ = ((x[p[live] + at] ^ y[q[live] + at]) & _low_bytes(length[live] - at)) != 0
+        same[live[differ]] = False
+        at += 8
+        live = live[~differ]
+        live = live[length[live] > at]
+    return same
 
 
 def chain(hashes: list[np.ndarray]) -> np.ndarray:

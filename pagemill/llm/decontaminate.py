@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField
 
-from .arrow import ALNUM, buffers, chain, ragged, text_chunks, with_columns, word_hashes
+from .arrow import ALNUM, Words, buffers, chain, mix, ragged, same_words, text_chunks, with_columns, word_hashes, word_table, words
 from .staging import Staging
 
 WINDOW = 13
-#: Items of one block hold about so many bytes of text at most (or are one item); blocks are joined one after the other.
-BLOCK_BYTES = 32 << 20
+#: Items of one block hold about so many bytes of text (or are one item); blocks are joined one after the other. A block's index takes about ten times that, on the driver and in each worker.
+BLOCK_BYTES = 16 << 20
 
 
 @dataclass
@@ -25,8 +25,8 @@ class Index:
     """The windows of one block of items, under their rarest shingle each.
 
     ``token`` is sorted; entry k of it stands for window ``window[k]`` and the place ``at[k]`` of
-    that shingle in it. Window w has ``length[w]`` words, whose hashes begin at ``begin[w]`` in
-    ``hashes``; it occurs in the items ``item[item_first[w]:item_first[w+1]]``.
+    that shingle in it. Window w has ``length[w]`` words, from ``begin[w]`` on in ``words``; it
+    occurs in the items ``item[item_first[w]:item_first[w+1]]``.
     """
 
     token: np.ndarray
@@ -34,7 +34,7 @@ class Index:
     at: np.ndarray
     length: np.ndarray
     begin: np.ndarray
-    hashes: np.ndarray
+    words: Words
     item_first: np.ndarray
     item: np.ndarray
     sieve: np.ndarray
@@ -66,41 +66,58 @@ def _found(tokens: np.ndarray, wanted: np.ndarray, sieve: np.ndarray) -> tuple[n
     return at[hit], k[hit]
 
 
+def _ranges(first: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of each range one after the other, and which range each is of."""
+    owner = np.repeat(np.arange(len(many)), many)
+    return first[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many), owner
+
+
 class _Items:
     """Distinct windows of a block of items."""
 
     def __init__(self, ids: list, texts: list, width: int) -> None:
-        hashes, first = word_hashes(*buffers(pa.array(texts, pa.large_string())), ALNUM)
-        seen: dict[bytes, int] = {}
-        rows, owners = [], []
-        for d, item in enumerate(ids):
-            words = hashes[first[d] : first[d + 1]]
-            for i in range(max(len(words) - width + 1, min(len(words), 1))):
-                w = words[i : i + width]
-                k = seen.setdefault(w.tobytes(), len(rows))
-                if k == len(rows):
-                    rows.append(w)
-                    owners.append([])
-                if not owners[k] or owners[k][-1] != item:
-                    owners[k].append(item)
-        self.rows, self.owners = rows, owners
+        w = word_table(*buffers(pa.array(texts, pa.large_string())), ALNUM)
+        self.words = Words(w.folded, w.start.astype(np.int32), w.end.astype(np.int32), w.first, w.hash)
+        size = np.diff(w.first)
+        begin, owner = _ranges(w.first[:-1], np.maximum(size - width + 1, np.minimum(size, 1)))
+        length = np.minimum(size, width)[owner]
+        # equal windows have equal hashes; a window joins the first of its hash if the words agree, else stands for itself
+        h = mix(length.astype(np.uint64))
+        for i in range(width):
+            more = length > i
+            h[more] = mix(h[more] * np.uint64(0x9FB21C651E98DF25) + w.hash[begin[more] + i])
+        _, first, which = np.unique(h, return_index=True, return_inverse=True)
+        rep = first[which]
+        agree = length == length[rep]
+        for i in range(width):
+            k = np.flatnonzero(agree & (length > i))
+            agree[k] = same_words(w, begin[k] + i, w, begin[rep[k]] + i)
+        rep = np.where(agree, rep, np.arange(len(rep)))
+        kept, number = np.unique(rep, return_inverse=True)
+        self.begin, self.length = begin[kept].astype(np.int32), length[kept].astype(np.int32)
+        pairs = np.unique(np.stack([number, np.asarray(ids, np.int64)[owner]], axis=1), axis=0) if len(rep) else np.zeros((0, 2), np.int64)
+        self.item, self.item_first = pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(len(kept) + 1))
         # a window's shingles: its pairs of neighbours, or its only word
-        self.shingles = [chain([r[:-1], r[1:]]) if len(r) > 1 else r for r in rows]
-        self.distinct = np.unique(np.concatenate(self.shingles)) if rows else np.zeros(0, np.uint64)
+        self.pairs = chain([w.hash[:-1], w.hash[1:]]) if len(w.hash) > 1 else w.hash[:0]
+        alone, many = self.length == 1, self.length > 1
+        at, _ = _ranges(self.begin[many].astype(np.int64), self.length[many].astype(np.int64) - 1)
+        self.distinct = np.unique(np.concatenate([w.hash[self.begin[alone]], self.pairs[np.unique(at)]]))
 
     def index(self, counts: np.ndarray) -> Index:
         """``counts``: how often each of ``distinct`` occurs in the documents. All a window's shingles must occur, so one is a necessary prefix: the rarest."""
-        token, at = np.zeros(len(self.rows), np.uint64), np.zeros(len(self.rows), np.int64)
-        for w, s in enumerate(self.shingles):
-            n = counts[np.searchsorted(self.distinct, s)]
-            at[w] = int(np.lexsort((s, n))[0])
-            token[w] = s[at[w]]
-        order = np.argsort(token, kind="stable")
-        length = np.array([len(r) for r in self.rows], np.int64)
-        return Index(
-            token[order], order, at[order], length, np.cumsum(length) - length, np.concatenate(self.rows) if self.rows else np.zeros(0, np.uint64),
-            np.concatenate([[0], np.cumsum([len(o) for o in self.owners])]).astype(np.int64), np.array([x for o in self.owners for x in o], np.int64), _sieve(token),
-        )
+        n = len(self.begin)
+        token, at, best = np.zeros(n, np.uint64), np.zeros(n, np.int32), np.full(n, np.iinfo(np.int64).max)
+        alone = self.length == 1
+        token[alone] = self.words.hash[self.begin[alone]]
+        for i in range(int(self.length.max(initial=1)) - 1):
+            k = np.flatnonzero(self.length > i + 1)
+            s = self.pairs[self.begin[k] + i]
+            seen = counts[np.searchsorted(self.distinct, s)]
+            better = (seen < best[k]) | ((seen == best[k]) & (s < token[k]))
+            k = k[better]
+            token[k], at[k], best[k] = s[better], i, seen[better]
+        order = np.argsort(token, kind="stable").astype(np.int32)
+        return Index(token[order], order, at[order], self.length, self.begin, self.words, self.item_first, self.item, _sieve(token))
 
 
 def _pairs_and_words(hashes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
@@ -116,28 +133,30 @@ def _counted(batches: Iterable[pa.RecordBatch], wanted: np.ndarray) -> Iterator[
     yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(counts[k])], names=["k", "n"])
 
 
-def occurrences(ix: Index, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First word and window of every occurrence in a chunk of documents."""
+def occurrences(ix: Index, own: Words) -> tuple[np.ndarray, np.ndarray]:
+    """First word and window of every occurrence in a chunk of documents; words are compared by hash, then byte by byte."""
     starts, wins = [], []
-    for tokens in _pairs_and_words(hashes, first):
+    for tokens in _pairs_and_words(own.hash, own.first):
         place, k = _found(tokens, ix.token, ix.sieve)
         if not len(place):
             continue
         # a shingle may be the prefix of several windows
         last = np.searchsorted(ix.token, ix.token[k], "right")
-        many = last - k
-        place, k = np.repeat(place, many), np.repeat(k, many) + (np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many))
+        k, which = _ranges(k, last - k)
+        place = place[which]
         window = ix.window[k]
         start = place - ix.at[k]
-        doc = np.searchsorted(first, place, "right") - 1
-        inside = (start >= first[doc]) & (start + ix.length[window] <= first[doc + 1])
+        doc = np.searchsorted(own.first, place, "right") - 1
+        inside = (start >= own.first[doc]) & (start + ix.length[window] <= own.first[doc + 1])
         start, window = start[inside], window[inside]
-        n = ix.length[window]
-        for i in range(int(n.max(initial=0))):
-            longer = n > i
-            same = np.ones(len(n), bool)
-            same[longer] = hashes[start[longer] + i] == ix.hashes[ix.begin[window[longer]] + i]
-            start, window, n = start[same], window[same], n[same]
+        for exact in (False, True):
+            n = ix.length[window]
+            for i in range(int(n.max(initial=0))):
+                more = np.flatnonzero(n > i)
+                mine, theirs = start[more] + i, ix.begin[window[more]] + i
+                same = np.ones(len(n), bool)
+                same[more] = same_words(own, mine, ix.words, theirs) if exact else own.hash[mine] == ix.words.hash[theirs]
+                start, window, n = start[same], window[same], n[same]
         starts.append(start)
         wins.append(window)
     if not starts:
@@ -160,9 +179,10 @@ def _with_hits(docs: DataFrame, spark: SparkSession, ix: Index, text: str, more:
         index = sent.value
 
         def call(batch: pa.RecordBatch, data: np.ndarray, offs: np.ndarray) -> list[pa.Array]:
-            hashes, first = word_hashes(data, offs, ALNUM)
-            start, window = occurrences(index, hashes, first)
-            delta = np.zeros(len(hashes) + 1, np.int64)
+            own_words = word_table(data, offs, ALNUM)
+            first = own_words.first
+            start, window = occurrences(index, own_words)
+            delta = np.zeros(len(own_words.hash) + 1, np.int64)
             np.add.at(delta, start, 1)
             np.add.at(delta, start + index.length[window], -1)
             inside = np.cumsum(delta) > 0
@@ -205,10 +225,11 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     are all found. Columns of these names in ``docs`` are replaced, others stay. Empty documents
     give an empty result; an empty benchmark gives no hits.
 
-    Items go in blocks of ``block_bytes``, so what the driver holds and broadcasts is bounded;
+    Items go in blocks of about ``block_bytes`` (by a hash; a longer item is in one block whole), so
+    what the driver holds and broadcasts is bounded by about ten times that;
     for each block the documents are read twice and never shuffled: once to count the block's
     shingles (rarity), once to look up each window's rarest shingle, hold its place against the
-    document's ends and compare the words. Further blocks work on a written table.
+    document's ends and compare the words, byte by byte. Further blocks work on a written table.
     """
     stage = Staging(spark, "decontaminate")
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL")
@@ -239,3 +260,27 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
         return call
 
     return with_columns(out, text, [StructField("n_hit", LongType()), StructField("n_items", LongType()), StructField("items_sha256", StringType()), StructField("contaminated", BooleanType())], make)
+
+
+def without_hits(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs``, as ``contamination`` gives them, with every range of hit words cut out of the text.
+
+    A cut goes from the first byte of a range's first word to the last of its last word; what
+    stands around it stays. Texts without hits, null and empty texts stay as they are.
+    """
+
+    def make():  # noqa: ANN202
+        def call(batch: pa.RecordBatch, data: np.ndarray, offs: np.ndarray) -> list[pa.Array]:
+            starts, ends, first = words(data, offs, ALNUM)
+            texts = batch.column(text).to_pylist()
+            for d, spans in enumerate(batch.column("hit_spans").to_pylist()):
+                if spans:
+                    keep = np.ones(offs[d + 1] - offs[d], bool)
+                    for a, b in zip(spans[::2], spans[1::2], strict=True):
+                        keep[starts[first[d] + a] - offs[d] : ends[first[d] + b - 1] - offs[d]] = False
+                    texts[d] = data[offs[d] : offs[d + 1]][keep].tobytes().decode("utf-8")
+            return [pa.array(texts, pa.string())]
+
+        return call
+
+    return with_columns(docs, text, [StructField(text, StringType())], make).select(docs.columns)
