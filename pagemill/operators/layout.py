@@ -13,14 +13,6 @@ SOLUTION = r"(?i)^Solution\s+to\s+Question\s+(\d+)\s*:\s*$"
 LIST_ITEM = r"(?i)^(?:•|\(\d+\)|\d+\.\s|Option\s+[A-D]\s*:)"
 
 
-def zone_bounds(lines: DataFrame, chapter: str, text: str, pos: Column) -> DataFrame:
-    """``chapter, key_pos, solution_pos``: the first answer-key line and the first solution header after it."""
-    marked = lines.select(F.col(chapter), pos.alias("pos"), F.col(text).rlike(ANSWER_KEY).alias("k"), F.col(text).rlike(SOLUTION).alias("s"))
-    key = marked.groupBy(chapter).agg(F.min(F.when(F.col("k"), F.col("pos"))).alias("key_pos"))
-    after = marked.join(key, chapter).groupBy(chapter).agg(F.first("key_pos").alias("key_pos"), F.min(F.when(F.col("s") & (F.col("pos") > F.col("key_pos")), F.col("pos"))).alias("solution_pos"))
-    return after
-
-
 def owned(rows: DataFrame, group: str, order: list[str], is_header: Column, header: Column, strict: bool = True) -> DataFrame:
     """``rows`` with ``block``, the nearest header before each row of its group; header rows and rows before any go.
 
@@ -59,13 +51,14 @@ def reflow(lines: DataFrame, group: str, order: str, page: str, y0: str, y1: str
     The median gap is over all lines of a page; half of it is wide where it is 3 points or more,
     one and a half times it otherwise.
     """
+    stripped = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"(?U)^\s+|\s+$", "")
     w = W.partitionBy(group).orderBy(order)
     gap = F.when(F.lag(page).over(w) == F.col(page), F.col(y0) - F.lag(y1).over(w))
     gaps = lines.withColumn("_gap", gap).groupBy(group).agg(upper_median(F.filter(F.collect_list("_gap"), lambda g: g > 0)).alias("med"))
-    body = lines.where(F.trim(F.coalesce(F.col(text), F.lit(""))) != "").withColumns({"_gap": gap, "_first": F.row_number().over(w) == 1, "_same": F.lag(page).over(w) == F.col(page)})
+    body = lines.withColumn(text, stripped).where(F.col(text) != "").withColumns({"_gap": gap, "_first": F.row_number().over(w) == 1, "_same": F.lag(page).over(w) == F.col(page)})
     wide = F.when(F.col("med") >= 3, 0.5 * F.col("med")).otherwise(1.5 * F.col("med"))
     sep = F.when(F.col("_first"), "").when(F.coalesce(F.col("_same") & (F.col("_gap") > wide), F.lit(False)), "\n").when(F.col(text).rlike(LIST_ITEM), "\n").otherwise(" ")
-    joined = body.join(gaps, group, "left").select(group, F.col(order).alias("o"), F.concat(sep, F.trim(F.col(text))).alias("t"))
+    joined = body.join(gaps, group, "left").select(group, F.col(order).alias("o"), F.concat(sep, F.col(text)).alias("t"))
     return joined.groupBy(group).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "t"))), lambda x: x["t"]), "").alias("text"))
 
 

@@ -73,14 +73,19 @@ def edits_applied(base: DataFrame, edits: DataFrame, key: str, fields: tuple[str
     return joined.select(*[(F.coalesce(f"_new_{x}", x).alias(x) if x in fields else F.col(x)) for x in base.columns], F.coalesce("_edited", F.lit(False)).alias("edited"))
 
 
-def lookup(rows: DataFrame, q_id: str, term: str) -> DataFrame:
-    """Rows that a search term means: a part of the id, or chapter-number, or a bare number."""
+LOOKUP_LIMIT = 20
+
+
+def lookup(rows: DataFrame, q_id: str, term: str, limit: int = LOOKUP_LIMIT) -> DataFrame:
+    """The first ``limit`` rows, by id, that a search term means: a part of the id, or chapter-number, or a bare number. A blank term means none."""
     whole, upper = F.upper(F.col(q_id)), term.strip().upper()
+    if not upper:
+        return rows.where(F.lit(False))
     hit = whole.contains(upper)
     parts = upper.split("-")
-    if all(p.isdigit() and len(p) <= 3 for p in parts) and len(parts) <= 2:
+    if all(p.isdigit() for p in parts) and (len(parts) == 1 or (len(parts) == 2 and max(map(len, parts)) <= 3)):
         hit = hit | whole.endswith("".join(f"-{int(p):03d}" for p in parts))
-    return rows.where(hit)
+    return rows.where(hit).orderBy(q_id).limit(limit)
 
 
 def point_lookup(rows: DataFrame, q_id: str, term: str) -> DataFrame:

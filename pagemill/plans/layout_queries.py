@@ -81,12 +81,12 @@ SELECT l_orderkey, arg_max(options, rn) AS options FROM f GROUP BY 1"""
 def reflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of a conversation as lines of pages of four; the gap above depends on the turn."""
     at = F.col("turn")
-    lines = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.floor(at / 4).alias("page"), (at * 20.0).alias("y0"), (at * 20.0 + 8.0 + at % 3 * 5.0).alias("y1"), F.regexp_replace(F.col("text"), r"(?U)\s+", " ").alias("text"))
+    lines = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.floor(at / 4).alias("page"), (at * 20.0).alias("y0"), (at * 20.0 + 8.0 + at % 3 * 5.0).alias("y1"), F.concat(F.when(at % 2 == 0, F.lit(" \t")).otherwise(F.lit("")), F.when(at % 5 == 0, F.lit("(1) ")).otherwise(F.lit("")), F.regexp_replace(F.col("text"), r"(?U)\s+", " ")).alias("text"))
     return layout.reflow(lines, "conv_id", "turn", "page", "y0", "y1", "text")
 
 
 _WS = r"[\s\x0b\x1c-\x1f\x85\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-REFLOW = f"""WITH l AS (SELECT conv_id, turn, turn // 4 AS page, turn * 20.0 AS y0, turn * 20.0 + 8.0 + turn % 3 * 5.0 AS y1, regexp_replace(text, '{_WS}+', ' ', 'g') AS text FROM conversations),
+REFLOW = f"""WITH l AS (SELECT conv_id, turn, turn // 4 AS page, turn * 20.0 AS y0, turn * 20.0 + 8.0 + turn % 3 * 5.0 AS y1, trim(CASE WHEN turn % 5 = 0 THEN '(1) ' ELSE '' END || regexp_replace(text, '{_WS}+', ' ', 'g')) AS text FROM conversations),
 g AS (SELECT conv_id, CASE WHEN lag(page) OVER w = page THEN y0 - lag(y1) OVER w END AS gap FROM l WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
 m AS (SELECT conv_id, list_sort(list(gap) FILTER (gap > 0)) AS gs FROM g GROUP BY 1),
 t AS (SELECT conv_id, gs[len(gs) // 2 + 1] AS med FROM m),
@@ -154,17 +154,18 @@ CASE WHEN len(list_filter(flatten(rows), lambda x: regexp_matches(x, '\\S\\s+[.,
 
 
 def header_dedupe_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of an order in chunks of three; each chunk repeats the header row, but for one kind of order."""
+    """Lines of an order in chunks of three; each chunk repeats the header row, but for one kind of order; another kind is not to lose it."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.floor((F.col("l_linenumber") - 1) / 3).alias("chunk"), "l_linenumber", F.array(F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string")).alias("row"))
     head = F.when(F.col("l_orderkey") % 4 == 0, F.array(F.lit("No"), F.concat(F.lit("Part "), F.col("chunk")))).otherwise(F.array(F.lit("No"), F.lit("Part")))
     chunks = lines.groupBy("l_orderkey", "chunk").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "row"))), lambda s: s["row"]).alias("rows")).select("l_orderkey", "chunk", F.concat(F.array(head), "rows").alias("rows"))
+    chunks = chunks.withColumn("mode", F.when((F.col("chunk") > 0) & (F.col("l_orderkey") % 3 != 0), "dedup").otherwise("keep"))
     merged = tables.merged_chunks(chunks, "l_orderkey", "chunk", "rows")
     return merged.select("l_orderkey", F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), "\n").alias("body"), "header_deduplicated")
 
 
 HEADER_DEDUPE_MERGE = """WITH c AS (SELECT l_orderkey, (l_linenumber - 1) // 3 AS chunk, string_agg(l_linenumber || '|' || l_partkey, chr(10) ORDER BY l_linenumber, l_partkey::VARCHAR) AS body FROM lineitem GROUP BY 1, 2),
 f AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY chunk) AS rn, first_value(chunk) OVER (PARTITION BY l_orderkey ORDER BY chunk) AS c0 FROM c)
-SELECT l_orderkey, string_agg(CASE WHEN rn > 1 AND l_orderkey % 4 <> 0 THEN '' ELSE 'No|Part' || CASE WHEN l_orderkey % 4 = 0 THEN ' ' || chunk ELSE '' END || chr(10) END || body, chr(10) ORDER BY chunk) AS body, count(*) > 1 AND l_orderkey % 4 <> 0 AS header_deduplicated FROM f GROUP BY l_orderkey"""
+SELECT l_orderkey, string_agg(CASE WHEN rn > 1 AND chunk > 0 AND l_orderkey % 4 <> 0 AND l_orderkey % 3 <> 0 THEN '' ELSE 'No|Part' || CASE WHEN l_orderkey % 4 = 0 THEN ' ' || chunk ELSE '' END || chr(10) END || body, chr(10) ORDER BY chunk) AS body, count(*) > 1 AND l_orderkey % 4 <> 0 AND l_orderkey % 3 <> 0 AS header_deduplicated FROM f GROUP BY l_orderkey"""
 
 
 def _perturbed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -172,7 +172,7 @@ ORACLES = {
     "daily_quota": DAILY_QUOTA,
     "resume_pending": "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'A')",
     "edits_applied": EDITS_APPLIED,
-    "lookup_questions": f"WITH {_IDS} SELECT * FROM ids WHERE contains(q_id, '7-3') OR ends_with(q_id, '-007-003')",
+    "lookup_questions": f"WITH {_IDS} SELECT * FROM ids WHERE contains(q_id, '7-3') OR ends_with(q_id, '-007-003') ORDER BY q_id LIMIT 20",
     "point_lookup": f"WITH {_IDS} SELECT q_id FROM ids WHERE q_id = 'BOOK-007-003' LIMIT 1",
     "ledger_subject": f"SELECT event_id, {_OWNER} AS owner FROM events",
     "purge_filter": f"SELECT event_id, event_type || '|' || user_id || '|' || event_id AS key FROM events WHERE {_OWNER} <> 'CLICK'",
