@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
-from .arrow import mix, with_columns
+from .arrow import mix, text_chunks, with_columns
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
@@ -22,26 +23,70 @@ SMOOTHING = 0.5
 #: all of its documents where they are fewer than what the others leave it, and LANG_DOCS of them in any case.
 TRAIN_DOCS = 40_000
 LANG_DOCS = 1_000
-#: Languages that are told apart at most: those with the most labelled documents.
-MAX_LANGS = 256
+#: Cells of the matrix at most (128 MB); of more languages than fit with BUCKETS, each has fewer buckets, none is left out.
+CELLS = 1 << 24
+#: Bytes of text that are scored by one product.
+SCORED_BYTES = 1 << 18
+#: Products of counts and log-probabilities that are in memory at once.
+_AT_ONCE = 1 << 22
 
 _LETTER = regex.compile(r"\p{L}")
-_SQUEEZE = regex.compile(r"[\s\d\p{P}\p{S}\p{C}]+")
-_ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+_BETWEEN = regex.compile(r"[\s\d\p{P}\p{S}\p{C}]")
+_ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 
 
-def features(text: str, buckets: int) -> np.ndarray:
-    """The hashed n-grams of a text, one entry for each place; runs of anything but letters count as one space."""
-    points = np.frombuffer((" " + _SQUEEZE.sub(" ", text.lower()).strip() + " ").encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+@lru_cache(1)
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """Of every code point whether it stands between words, and whether it is a letter."""
+    every = "".join(map(chr, range(0x110000)))
     out = []
+    for pattern in (_BETWEEN, _LETTER):
+        mask = np.zeros(0x110000, bool)
+        mask[[m.start() for m in pattern.finditer(every)]] = True
+        out.append(mask)
+    return out[0], out[1]
+
+
+def table(texts: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``row, bucket, count`` of the hashed n-grams of all texts, by row, and which rows have a letter.
+
+    Texts are lower-cased; runs of anything but letters and marks count as one space, and so do a text's ends.
+    """
+    between, letter = _classes()
+    low = [t.lower() for t in texts]
+    sizes = np.fromiter(map(len, low), np.int64, len(low))
+    points = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.uint32)
+    # a space before and behind each text
+    first = np.cumsum(sizes + 2) - sizes - 2
+    at = np.arange(len(points)) + 2 * np.repeat(np.arange(len(low)), sizes) + 1
+    chars = np.full(len(points) + 2 * len(low), 0x20, np.uint32)
+    chars[at] = points
+    row = np.repeat(np.arange(len(low)), sizes + 2)
+    space = np.ones(len(chars), bool)
+    space[at] = between[points]
+    has_letter = np.bincount(row[at][letter[points]], minlength=len(low)) > 0 if len(points) else np.zeros(len(low), bool)
+    keep = np.ones(len(chars), bool)
+    keep[1:] = ~(space[1:] & space[:-1])
+    keep[first] = True
+    chars, row = np.where(space, np.uint32(0x20), chars)[keep].astype(np.uint64), row[keep]
+    keys = []
     for n in ORDERS:
-        if len(points) < n:
+        m = len(chars) - n + 1
+        if m <= 0:
             continue
-        h = np.full(len(points) - n + 1, n, np.uint64)
+        h = np.full(m, n, np.uint64)
         for i in range(n):
-            h = h * _ODD[0] + points[i : len(points) - n + 1 + i] * _ODD[1]
-        out.append((mix(h) % np.uint64(buckets)).astype(np.int64))
-    return np.concatenate(out)
+            h = h * _ODD[0] + chars[i : m + i] * _ODD[1]
+        own = row[:m] == row[n - 1 :]
+        keys.append(row[:m][own].astype(np.uint64) * np.uint64(buckets) + mix(h[own]) % np.uint64(buckets))
+    key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+    if len(low) * buckets <= 1 << 32:
+        key = key.astype(np.uint32)  # sorts much faster
+    key.sort()
+    new = np.flatnonzero(np.concatenate([np.ones(min(len(key), 1), bool), key[1:] != key[:-1]]))
+    count = np.diff(np.append(new, len(key)))
+    key = key[new].astype(np.int64)
+    return key // buckets, key % buckets, count, has_letter
 
 
 @dataclass
@@ -52,27 +97,31 @@ class Model:
     log_prior: np.ndarray
     log_probs: np.ndarray
 
-    def score(self, text: str | None) -> tuple[str, float]:
-        if text is None or not self.langs or not _LETTER.search(text):
-            return UNKNOWN, 0.0
-        f = features(text, len(self.log_probs))
-        if len(f) > len(self.log_probs):
-            total = np.bincount(f, minlength=len(self.log_probs)) @ self.log_probs
-        else:
-            total = self.log_probs[f].sum(axis=0)
-        total = total + self.log_prior
-        best = int(total.argmax())
-        return self.langs[best], float(1 / np.exp(total - total[best]).sum())
+    def score(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        """Of each text the language and its posterior: one sparse product of the texts' counts with the matrix."""
+        if not self.langs or not texts:
+            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+        row, bucket, count, known = table([t or "" for t in texts], len(self.log_probs))
+        total = np.tile(self.log_prior, (len(texts), 1))
+        step = max(_AT_ONCE // len(self.langs), 1)
+        for lo in range(0, len(row), step):
+            r = row[lo : lo + step]
+            starts = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
+            total[r[starts]] += np.add.reduceat(self.log_probs[bucket[lo : lo + step]] * count[lo : lo + step, None], starts, axis=0)
+        best = total.argmax(axis=1)
+        posterior = 1 / np.exp(total - total[np.arange(len(texts)), best][:, None]).sum(axis=1)
+        return [self.langs[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist(), strict=True)], np.where(known, posterior, 0.0)
 
 
 def _counted(batches: Iterable[pa.RecordBatch], index: dict[str, int], buckets: int) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((len(index), buckets), np.int64)
-    for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            if text and lang in index and _LETTER.search(text):
-                counts[index[lang]] += np.bincount(features(text, buckets), minlength=buckets)
-    k, bucket = np.nonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(counts[k, bucket])], names=["k", "bucket", "n"])
+    counts = np.zeros(len(index) * buckets, np.int64)
+    for batch, _, _ in text_chunks(batches, "text", SCORED_BYTES):
+        lang = np.array([index.get(x, -1) for x in batch.column("lang").to_pylist()], np.int64)
+        row, bucket, count, known = table([t or "" for t in batch.column("text").to_pylist()], buckets)
+        use = known[row] & (lang[row] >= 0)
+        np.add.at(counts, lang[row[use]] * buckets + bucket[use], count[use])
+    k = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array((k // buckets).astype(np.int32)), pa.array((k % buckets).astype(np.int32)), pa.array(counts[k])], names=["k", "bucket", "n"])
 
 
 def _quota(counts: list[int], total: int) -> int:
@@ -85,19 +134,23 @@ def _quota(counts: list[int], total: int) -> int:
     return max(counts)
 
 
-def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", train_docs: int = TRAIN_DOCS, buckets: int = BUCKETS, max_langs: int = MAX_LANGS, lang_docs: int = LANG_DOCS) -> Model:
+def train(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", train_docs: int = TRAIN_DOCS, buckets: int = BUCKETS, cells: int = CELLS, lang_docs: int = LANG_DOCS) -> Model:
     """Learns from the labelled rows for which ``learn`` holds, about ``train_docs`` of them or ``lang_docs`` of each language.
 
     The quota is one for all languages: a language with fewer rows is learned from all of them, a
-    larger one from a hash share. A language without a single letter in its rows is left out. The driver receives counts of at most ``max_langs * buckets`` cells, whatever the input. Rows
-    with null text or label are passed over; no rows at all give a model that answers ``und``.
+    larger one from a hash share. A language without a single letter in its rows is left out, no other is. The
+    driver receives counts of at most ``cells`` cells, whatever the input: with more than ``cells /
+    buckets`` languages the number of buckets is halved until they fit. Rows with null text or label
+    are passed over; no rows at all give a model that answers ``und``.
     """
     rows = docs.where(learn).select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    per_lang = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    per_lang = rows.groupBy("lang").count().collect()  # a row for each language
     langs = sorted(r["lang"] for r in per_lang)
     index, total = {x: i for i, x in enumerate(langs)}, sum(r["count"] for r in per_lang)
     if not langs:
         return Model([], np.zeros(0), np.zeros((buckets, 0)))
+    while buckets * len(langs) > cells and buckets > 256:
+        buckets //= 2
     quota = max(lang_docs, _quota([r["count"] for r in per_lang], train_docs))
     shares = [F.lit(x) for r in per_lang if r["count"] > quota for x in (r["lang"], int(quota / r["count"] * (1 << 30)))]
     if shares:
@@ -127,12 +180,12 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model, text: str = "te
         m = sent.value
 
         def call(batch: pa.RecordBatch, data: np.ndarray, offs: np.ndarray) -> list[pa.Array]:
-            got = [m.score(t) for t in batch.column(text).to_pylist()]
-            return [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
+            langs, score = m.score(batch.column(text).to_pylist())
+            return [pa.array(langs, pa.string()), pa.array(score)]
 
         return call
 
-    return with_columns(docs, text, [StructField("lang_pred", StringType()), StructField("score", DoubleType())], make)
+    return with_columns(docs, text, [StructField("lang_pred", StringType()), StructField("score", DoubleType())], make, SCORED_BYTES)
 
 
 def held_out(doc_id: str = "doc_id", mod: int = 5, rest: int = 0) -> Column:
