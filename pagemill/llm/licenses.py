@@ -159,7 +159,10 @@ def licenses(docs: DataFrame, base: tuple = BASE, more: tuple = MORE, text: str
                 if not any(s in raw for s in seeds):
                     rows.append((n, 0, None, None, "", "", 0.0, []))
                     continue
-                found = scanner.find(raw.decode("latin-1"))
+                found = scanner.find(raw.decode("utf-8"))
+                if found and not raw.isascii():  # places of characters to places of bytes
+                    byte = np.append(np.flatnonzero((body & 0xC0) != 0x80), len(body)).tolist()
+                    found = [(byte[s], byte[e], k, x) for s, e, k, x in found]
                 w0 = np.searchsorted(at, [f[0] for f in found], "right") - 1
                 w1 = np.searchsorted(at, [f[1] - 1 for f in found], "right") - 1
                 spans = [{"label": scanner.notices[k].label, "start": int(a[i] + max(0, s - at[i]) - offs[d]), "end": int(a[j] + min(e - at[j], length[j]) - offs[d]), "edits": x} for (s, e, k, x), i, j in zip(found, w0.tolist(), w1.tolist(), strict=True)]
