@@ -19,12 +19,12 @@ WINDOW = 48
 LEVEL = 6
 #: Labelled documents of each class that are learned from, at most; their texts are whole.
 TRAIN_DOCS = 3000
-#: Windows that one dictionary is trained on, at most.
-TRAIN_WINDOWS = 60_000
 ORDINARY_BYTES = 32 << 10
-#: Sizes of the toxic dictionary: first drafts, then rounds over the windows that stand out, of which the best counts.
-DRAFT_BYTES = 16 << 10
-TOXIC_BYTES = (4096, 2048, 1024, 1024)
+#: Sizes of the toxic dictionary that are tried.
+TOXIC_BYTES = (4096, 2048, 1024, 512, 256)
+#: Bytes of the strings whose document counts tell toxic passages from others, and toxic texts that must have one.
+GRAM = 6
+LEAST_TEXTS = 3
 THRESHOLD = 0.3
 
 _WINDOWS = re.compile(rb"[\s\S]{1,%d}(?=\s|\Z)|[\s\S]{%d}" % (WINDOW - 1, WINDOW))
@@ -54,7 +54,12 @@ class Model:
 
 
 class Distance:
-    """Bytes that a window is shorter by when the toxic dictionary is at hand beside the ordinary one."""
+    """Bytes that a window is shorter by when the toxic dictionary is at hand in front of the ordinary one.
+
+    Both dictionaries are trained apart. A window is compressed with the ordinary one alone and with both:
+    a toxic dictionary alone would lose to the ordinary one on the ordinary words that toxic text has too,
+    by amounts that say more of the text's language than of its toxicity.
+    """
 
     def __init__(self, ordinary: bytes, toxic: bytes) -> None:
         self._without, self._with = _compressor(ordinary), _compressor(toxic + ordinary)
@@ -95,34 +100,90 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return mean, scale, w
 
 
+def _grams(text: bytes) -> np.ndarray:
+    """Each ``GRAM`` bytes from every place on, as one number."""
+    x = np.frombuffer(text, np.uint8).astype(np.uint64)
+    n = len(x) - GRAM + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out = np.zeros(n, np.uint64)
+    for i in range(GRAM):
+        out = (out << np.uint64(8)) | x[i : n + i]
+    return out
+
+
+def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each of ``x`` is one of the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(x), bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
+def _document_counts(texts: list[bytes], among: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams and in how many texts each is; of those in the sorted ``among`` only, if given. Grows with the distinct grams."""
+    grams, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    held: list[np.ndarray] = []
+    for k, t in enumerate(texts):
+        g = np.unique(_grams(t))
+        held.append(g if among is None else g[_among(g, among)])
+        if sum(map(len, held)) > 1 << 22 or k == len(texts) - 1:
+            new, n = np.unique(np.concatenate(held), return_counts=True)
+            grams, which = np.unique(np.concatenate([grams, new]), return_inverse=True)
+            counts = np.bincount(which, np.concatenate([counts, n])).astype(np.int64)
+            held = []
+    return grams, counts
+
+
+def telling(toxic: list[bytes], ordinary: list[bytes]) -> np.ndarray:
+    """Sorted grams that more toxic texts have than their share: by the likelihood ratio of the two document counts, beyond chance for as many grams as there are."""
+    grams, a = _document_counts(toxic)
+    grams, a = grams[a >= LEAST_TEXTS], a[a >= LEAST_TEXTS]
+    seen, n = _document_counts(ordinary, grams)
+    b = np.zeros(len(grams), np.int64)
+    b[np.searchsorted(grams, seen)] = n
+    p, q, both = a / len(toxic), b / len(ordinary), (a + b) / (len(toxic) + len(ordinary))
+
+    def fit_of(k: np.ndarray, m: int, share: np.ndarray) -> np.ndarray:
+        share = np.clip(share, 1e-12, 1 - 1e-12)
+        return k * np.log(share) + (m - k) * np.log(1 - share)
+
+    ratio = 2 * (fit_of(a, len(toxic), p) + fit_of(b, len(ordinary), q) - fit_of(a, len(toxic), both) - fit_of(b, len(ordinary), both))
+    return grams[(p > q) & (ratio > 2 * np.log(max(len(grams), 2)) + 10)]
+
+
+def _passages(texts: list[bytes], grams: np.ndarray) -> list[bytes]:
+    """Stretches of the texts that telling grams cover."""
+    out = []
+    for t in texts:
+        at = np.flatnonzero(_among(_grams(t), grams))
+        for run in np.split(at, np.flatnonzero(np.diff(at) > GRAM) + 1) if len(at) else []:
+            out.append(t[run[0] : run[-1] + GRAM])
+    return out
+
+
 def fit(toxic: list[str], ordinary: list[str], share: float) -> Model:
     """``share``: of toxic documents among all labelled ones, for calibration.
 
-    A dictionary of one third of the toxic texts finds, in another, the windows that it shortens
-    more than it shortens ordinary ones; such windows have what recurs in toxic text and not what
-    one text says. The toxic dictionary is trained on them, then again on the windows that it
-    itself finds. The last third of the texts, which no dictionary has seen, chooses the round
-    and calibrates the score.
+    Two thirds of the texts make the dictionaries. The ordinary one is trained on ordinary windows.
+    The toxic one is trained on passages of toxic texts that tell the classes apart: stretches of
+    ``GRAM``-byte strings that occur in more toxic texts than chance allows, so what any text has is not
+    in it; where there are none, on the toxic windows as they are. The last third of the texts, which no
+    dictionary has seen, chooses the size of the toxic dictionary and calibrates the score.
     """
     rng = np.random.default_rng(17)
+    folded = [[t.lower().encode("utf-8", "replace") for k in (0, 1) for t in texts[k::3]] for texts in (toxic, ordinary)]
 
-    def sample(texts: list[str]) -> list[bytes]:
-        parts = sorted({w for t in texts for w in windows(t)})
-        return [parts[i] for i in rng.permutation(len(parts))[:TRAIN_WINDOWS]]
+    def shuffled(parts: list[bytes]) -> list[bytes]:
+        return [parts[i] for i in rng.permutation(len(parts))]
 
-    thirds = [sample(toxic[k::3]) for k in (0, 1)]
-    plain, other = (sample(ordinary[k::3]) for k in (0, 1))
+    plain = shuffled(sorted({w for t in ordinary[::3] for w in windows(t)}))
+    passages = shuffled(_passages(folded[0], telling(*folded))) or shuffled(sorted({w for t in toxic[::3] for w in windows(t)}))
     unseen = [toxic[2::3] or toxic, ordinary[2::3] or ordinary]
     y = np.repeat([1.0, 0.0], [len(u) for u in unseen])
-    base = _trained(ORDINARY_BYTES, plain)
-    found = []
-    for mine, others in (thirds, thirds[::-1]):
-        draft = Distance(base, _trained(DRAFT_BYTES, mine))
-        least = np.quantile(draft.savings(other), 0.99) if other else 0
-        found += [w for w, x in zip(others, draft.savings(others), strict=True) if x > least]
+    base = _trained(ORDINARY_BYTES, plain or [b" "])
     best = None
     for size in TOXIC_BYTES:
-        own = _trained(size, found or thirds[0] or [b" "])
+        own = _trained(size, passages or [b" "])
         now = Distance(base, own)
         x = np.array([now.features(t) for u in unseen for t in u])
         mean, scale, w = _logistic(x, y)
@@ -130,8 +191,6 @@ def fit(toxic: list[str], ordinary: list[str], share: float) -> Model:
         loss = -(y * np.log(p)).sum() / y.sum() - ((1 - y) * np.log(1 - p)).sum() / (1 - y).sum()
         if best is None or loss < best[0]:
             best = loss, own, mean, scale, w
-        least = np.quantile(now.savings(other), 0.998) if other else 0
-        found = [w for h in thirds for w, x in zip(h, now.savings(h), strict=True) if x > least] or found
     _, own, mean, scale, w = best
     taken = y.mean()
     w[-1] += np.log(share / (1 - share)) - np.log(taken / (1 - taken))
