@@ -29,8 +29,12 @@ WIDTH = 100
 ANCHOR = 32
 #: Bytes of text in a shard, about; a longer text makes a shard of its own.
 SHARD_BYTES = 8 << 20
-#: An anchor with more places is not kept together: its strings go to buckets of their own, as digests.
+#: An anchor with more places is not kept together: its strings go to buckets of their own, as 128-bit BLAKE2b digests.
 HOT = 4096
+#: Bytes of anchors, and of strings (so many for an anchor), that one bucket gathers, about; the number of buckets follows the data.
+ANCHOR_BUCKET_BYTES = 8 << 20
+STRING_BUCKET_BYTES = 8 << 20
+_STRINGS_OF_ANCHOR = 160
 _SCAN = 1 << 20
 
 _TEXTS, _LATER, _ANCHORS = 0, 1, 2
@@ -51,11 +55,19 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
+def _running(mask: np.ndarray) -> np.ndarray:
+    """How many are true before each place, and in all."""
+    out = np.zeros(len(mask) + 1, np.int32)
+    np.cumsum(mask, out=out[1:])
+    return out
+
+
 def _covered(n: int, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     delta = np.zeros(n + 1, np.int32)
     np.add.at(delta, starts, 1)
     np.add.at(delta, stops, -1)
-    return np.cumsum(delta[:n]) > 0
+    np.cumsum(delta, out=delta)
+    return delta[:n] > 0
 
 
 def segments(data: np.ndarray, offs: np.ndarray, width: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,10 +146,10 @@ def common_prefixes(data: np.ndarray, ends: np.ndarray, order: np.ndarray) -> np
     """
     if len(order) < 2:
         return np.zeros(len(order), np.int64)
-    before = np.full(len(data) + 1, -2, np.int64)
+    before = np.full(len(data) + 1, -2, np.int32)
     before[order[1:]] = order[:-1]
     place = np.sort(order[1:])
-    q = before[place]
+    q = before[place].astype(np.int64)
     head = np.ones(len(place), bool)
     head[1:] = (place[1:] != place[:-1] + 1) | (q[1:] != q[:-1] + 1)
     padded = np.concatenate([data, np.zeros(16, np.uint8)])
@@ -159,7 +171,7 @@ def common_prefixes(data: np.ndarray, ends: np.ndarray, order: np.ndarray) -> np
     past = found <= 0
     past &= ~head
     found[past] = compared(place[past], q[past])
-    common = np.zeros(len(data) + 1, np.int64)
+    common = before
     common[place] = found
     return np.concatenate([[0], common[order[1:]]])
 
@@ -196,7 +208,7 @@ def _rows(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["shard", "kind", "bucket", "body"])
 
 
-def _local(table: pa.Table, shard: int, doc_id: str, text: str, width: int, anchor: int, buckets: int) -> list[tuple[int, int, int, bytes]]:
+def _local(table: pa.Table, shard: int, doc_id: str, text: str, width: int, anchor: int) -> list[tuple[int, int, int, bytes]]:
     table = table.take(pc.sort_indices(table, sort_keys=[(doc_id, "ascending")], null_placement="at_end")).combine_chunks()
     data, offs = _text(table, text)
     hashes, starts, stops = segments(data, offs, width, anchor)
@@ -205,21 +217,30 @@ def _local(table: pa.Table, shard: int, doc_id: str, text: str, width: int, anch
     later = later_places(data, offs, starts[twice], stops[twice], width) if twice.any() else np.zeros(len(data), bool)
     lo, hi = _runs(later)
     out = [(shard, _TEXTS, -1, _packed(table)), (shard, _LATER, -1, np.stack([lo, hi], axis=1).astype(np.int64).tobytes())]
-    gone = np.concatenate([[0], np.cumsum(later)])
+    gone = _running(later)
     left = np.sort(hashes[gone[stops] - gone[starts] < stops - starts])
-    where = (left % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(where, kind="stable")
-    left, cuts = left[order], np.searchsorted(where[order], np.arange(buckets + 1))
-    return out + [(shard, _ANCHORS, b, left[cuts[b] : cuts[b + 1]].tobytes()) for b in range(buckets) if cuts[b + 1] > cuts[b]]
+    return out + [(shard, _ANCHORS, len(left), left.tobytes())] if len(left) else out
+
+
+def _split(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Each shard's anchors, dealt to ``buckets``."""
+    for batch in batches:
+        for shard, body in zip(_column(batch, "shard"), _column(batch, "body"), strict=True):
+            left = np.frombuffer(body, np.uint64)
+            where = (left % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(where, kind="stable")
+            left, where = left[order], where[order]
+            edges = np.flatnonzero(np.append(True, where[1:] != where[:-1])).tolist() + [len(left)]
+            yield _rows([(shard, _ANCHORS, int(where[a]), left[a:b].tobytes()) for a, b in zip(edges, edges[1:], strict=False)])
 
 
-def _sharded(batches: Iterable[pa.RecordBatch], doc_id: str, text: str, width: int, anchor: int, shard_bytes: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _sharded(batches: Iterable[pa.RecordBatch], doc_id: str, text: str, width: int, anchor: int, shard_bytes: int) -> Iterator[pa.RecordBatch]:
     shard, held, size = TaskContext.get().partitionId() << 32, [], 0
 
     def flushed() -> Iterator[pa.RecordBatch]:
         nonlocal shard, held, size
         if held:
-            rows = _local(pa.Table.from_batches(held), shard, doc_id, text, width, anchor, buckets)
+            rows = _local(pa.Table.from_batches(held), shard, doc_id, text, width, anchor)
             shard, held, size = shard + 1, [], 0
             yield from (_rows([r]) for r in rows[:2])
             yield _rows(rows[2:])
@@ -256,9 +277,10 @@ def _common_anchors(table: pa.Table, most: int) -> pa.Table:
     return pa.Table.from_batches([_rows(rows)])
 
 
-def _strings(data: np.ndarray, width: int) -> np.ndarray:
-    """A second hash of each ``width`` bytes, apart from the first."""
-    return Hasher(data ^ np.uint8(0x5A)).windows(width)
+def _digests(data: np.ndarray, places: np.ndarray, width: int) -> np.ndarray:
+    """Two numbers for the ``width`` bytes from each place on."""
+    body = data.tobytes()
+    return np.frombuffer(b"".join(hashlib.blake2b(body[p : p + width], digest_size=16).digest() for p in places.tolist()), np.uint64).reshape(-1, 2)
 
 
 _ORDER = [("doc", pa.int64()), ("row", pa.int64()), ("pos", pa.int64())]
@@ -292,25 +314,21 @@ def _sent(table: pa.Table, doc_id: str, text: str, width: int, anchor: int, buck
             continue
         owner = np.searchsorted(starts[pick], first, "right") - 1
         bound = np.minimum(stops[pick][owner], np.append(first[1:], len(data)))
-        dead = np.append(np.flatnonzero(~live), len(data) + 1)
-        last = np.minimum(bound, dead[np.searchsorted(dead, first)])
+        begun, ended = _runs(live)
+        last = np.minimum(bound, ended[np.searchsorted(begun, first, "right") - 1])
         key = hashes[pick][owner]
         if hot:
             first = np.concatenate([np.arange(a, b) for a, b in zip(first, last, strict=True)])
-            one, two = np.zeros(len(first), np.uint64), np.zeros(len(first), np.uint64)
-            for lo, hi in row_chunks(offs, _SCAN):
-                a, b = np.searchsorted(first, (offs[lo], offs[hi]))
-                if b > a:
-                    part, at = data[offs[lo] : offs[hi]], first[a:b] - offs[lo]
-                    one[a:b], two[a:b] = Hasher(part).windows(width)[at], _strings(part, width)[at]
-            key, span = one, 16
-            bodies = np.stack([one, two], axis=1).tobytes()
+            both = _digests(data, first, width)
+            key, span = both[:, 0], 16
+            bodies = both.tobytes()
             cuts = np.arange(len(first) + 1) * 16
         else:
             span = width
             length = last - first + width - 1
             cuts = np.concatenate([[0], np.cumsum(length)])
-            bodies = data[np.repeat(first - cuts[:-1], length) + np.arange(cuts[-1])].tobytes()
+            view = memoryview(data)
+            bodies = b"".join(view[a : a + n] for a, n in zip(first.tolist(), length.tolist(), strict=True))
         doc = np.searchsorted(offs, first, "right") - 1
         where = (key % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(where, kind="stable")
@@ -382,7 +400,7 @@ def _results(table: pa.Table, text: str, names: list[str], width: int) -> pa.Tab
     later = np.concatenate([np.frombuffer(b, np.int64) for k, b in zip(kinds, bodies, strict=True) if k == _LATER]).reshape(-1, 2)
     removed = _covered(len(data), later[:, 0], later[:, 1] + width - 1)
     body, cols = data.tobytes(), ([], [], [], [], [])
-    gone = np.concatenate([[0], np.cumsum(removed)])
+    gone = _running(removed)
     for lo, hi in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
         n = int(gone[hi] - gone[lo])
         kept, spans = body[lo:hi], 0
@@ -412,19 +430,21 @@ def deduplicate(spark: SparkSession, docs: DataFrame, width: int = WIDTH, anchor
     names are replaced, others stay. An empty table gives an empty result.
 
     Shuffled are the shards' compressed texts (twice), a hash for each anchor, and the strings
-    around anchors that shards share. A shard holds ``shard_bytes`` or one text; a bucket one of
-    ``spark.sql.shuffle.partitions`` parts of the anchors. A string that is in a third of all
-    documents is in a bucket once for each shard; an anchor with more than ``hot`` places, in
-    different strings, is spread over the buckets of those strings.
+    around anchors that shards share. A shard holds ``shard_bytes`` or one text; the numbers of
+    buckets follow from the number of anchors that the shards have written, so a bucket stays of
+    one size as the input grows. A string that is in a third of all documents is in a bucket once
+    for each shard; an anchor with more than ``hot`` places, in different strings, is spread over
+    the buckets of those strings.
     """
     stage = Staging(spark, "suffix")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     new = {f.name.lower() for f in _NEW}
     base = docs.select(*[c for c in docs.columns if c.lower() not in new])
-    first = stage.write(base.mapInArrow(lambda it: releasing(_sharded(it, doc_id, text, width, anchor, shard_bytes, buckets)), _ROWS), "shards")
-    whole = first.where(F.col("kind") != _ANCHORS)
-    common = first.where(F.col("kind") == _ANCHORS).groupBy("bucket").applyInArrow(lambda t: _common_anchors(t, hot), _ROWS)
-    sent = whole.unionByName(common).groupBy("shard").applyInArrow(lambda t: _sent(t, doc_id, text, width, anchor, buckets), _ROWS)
+    first = stage.write(base.mapInArrow(lambda it: releasing(_sharded(it, doc_id, text, width, anchor, shard_bytes)), _ROWS), "shards")
+    whole, anchors = first.where(F.col("kind") != _ANCHORS), first.where(F.col("kind") == _ANCHORS)
+    n = anchors.agg(F.sum(F.col("bucket").cast("long"))).first()[0] or 0
+    few, many = (max(1, -(-n * size // most)) for size, most in ((8, ANCHOR_BUCKET_BYTES), (_STRINGS_OF_ANCHOR, STRING_BUCKET_BYTES)))
+    common = anchors.mapInArrow(lambda it: _split(it, few), _ROWS).groupBy("bucket").applyInArrow(lambda t: _common_anchors(t, hot), _ROWS)
+    sent = whole.unionByName(common).groupBy("shard").applyInArrow(lambda t: _sent(t, doc_id, text, width, anchor, many), _ROWS)
     later = sent.groupBy("bucket", "kind").applyInArrow(_merged, _ROWS)
     schema = StructType(list(base.schema.fields) + _NEW)
     return whole.unionByName(later).groupBy("shard").applyInArrow(lambda t: _results(t, text, [f.name for f in _NEW], width), schema)

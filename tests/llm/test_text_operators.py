@@ -290,5 +290,5 @@ def test_language_rare_ones_are_learned(spark):
     for more in ({}, {"lang_docs": 2}):
         model = language.train(docs, F.lit(True), train_docs=100, **more)
         assert model.langs == sorted(letters)
-        assert all(model.score(text(lang))[0] == lang for lang in letters for _ in range(5))
+        assert all(model.score([text(lang)])[0] == [lang] for lang in letters for _ in range(5))
     assert [language._quota([5, 100, 50], t) for t in (9, 35, 100, 155)] == [3, 15, 47, 100]
