@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -28,6 +28,76 @@ def orphans(figures: DataFrame, heads: DataFrame, group: str, pos: str, key_zone
     return free.join(key_zone, group, "left").withColumn("reason", F.when(inside, "image_in_answer_key_zone").otherwise("image_outside_blocks")).drop("lo", "hi")
 
 
+def owners(figures: DataFrame, heads: DataFrame, group: str, pos: str) -> DataFrame:
+    """``figures`` with ``zone`` (Q, SOL or null), ``q_no`` and, where nothing owns one, ``reason``.
+
+    ``heads`` (group, pos, zone, q_no) are question headers, the answer key's line (KEY) and solution
+    headers: a block runs from its header, included, to the next head. Question blocks end at the key,
+    so they never meet solution blocks.
+    """
+    out = _owner(figures, heads.select(group, pos, F.struct("zone", "q_no").alias("block")), group, pos)
+    zone = F.col("block.zone")
+    owned = zone.isin("Q", "SOL")
+    return out.withColumns({
+        "zone": F.when(owned, zone), "q_no": F.when(owned, F.col("block.q_no")),
+        "reason": F.when(zone == "KEY", "image_in_answer_key_zone").when(zone.isNull(), "image_outside_blocks"),
+    }).drop("block")
+
+
+def option_owners(figures: DataFrame, markers: DataFrame, group: str, pos: str) -> DataFrame:
+    """``figures`` of owned blocks with ``kind`` (Q, SOL, OPT) and ``letter``: in a question the last option marker at or before a figure owns it.
+
+    ``markers`` are ``group, q_no, pos, letter``.
+    """
+    q = figures.where("zone = 'Q'")
+    keyed = lambda df: df.withColumn("_k", F.struct(group, "q_no"))
+    at = _owner(keyed(q), keyed(markers).select("_k", pos, F.upper("letter").alias("block")), "_k", pos).drop("_k")
+    at = at.withColumns({"letter": F.col("block"), "kind": F.when(F.col("block").isNotNull(), "OPT").otherwise("Q")}).drop("block")
+    rest = figures.where("zone = 'SOL'").withColumns({"letter": F.lit(None).cast("string"), "kind": F.lit("SOL")})
+    return at.unionByName(rest)
+
+
+def manifest(claims: DataFrame, q_id: Column) -> DataFrame:
+    """``q_id, type, option_letter, file, source_pages, extraction_page, table_id``, one row for each claim."""
+    kind = F.when(F.col("kind") == "Q", "QUESTION").when(F.col("kind") == "SOL", "SOLUTION").otherwise("OPTION")
+    letter = F.when(F.col("kind") == "OPT", F.col("letter"))
+    return claims.select(q_id.alias("q_id"), kind.alias("type"), letter.alias("option_letter"), "file", F.array("page").alias("source_pages"), F.col("page").alias("extraction_page"), "table_id")
+
+
+def files_by_slot(claims: DataFrame, keys: list[str], seq: str) -> DataFrame:
+    """``keys, kind, letter, files``: the files of each slot in the order of claims."""
+    listed = F.transform(F.array_sort(F.collect_list(F.struct(seq, "file"))), lambda x: x["file"])
+    return claims.groupBy(*keys, "kind", "letter").agg(listed.alias("files"))
+
+
+def first_pages(claims: DataFrame, seq: str) -> DataFrame:
+    """``file, page``: where each file was claimed first."""
+    return claims.groupBy("file").agg(F.min_by("page", seq).alias("page"))
+
+
+def ownership(claims: DataFrame, owner: Column) -> DataFrame:
+    """The ownership ledger's row of each claim: slot, and in words why the figure is the owner's."""
+    slot = F.when(F.col("kind") == "OPT", F.concat(F.lit("option_"), F.lower("letter"))).when(F.col("kind") == "Q", "question").otherwise("solution")
+    why = (
+        F.when((F.col("xref") == -1) & F.col("table_id").isNotNull(), "clip render of printed table region")
+        .when(F.col("merged") > 0, F.concat(F.lit("clip render merging "), F.col("merged"), F.lit(" adjacent placements of one figure")))
+        .otherwise(F.concat(F.lit("xref "), F.col("xref"), F.lit(" bbox center inside block interval")))
+    )
+    fixed = {"method": "textlayer_geometry", "confidence": "high", "outcome": "claimed"}
+    return claims.select(owner.alias("owner"), "file", "page", slot.alias("slot"), why.alias("evidence"), *[F.lit(v).alias(k) for k, v in fixed.items()])
+
+
+def orphan_rows(figures: DataFrame, group: str) -> DataFrame:
+    """The ledger's row of each figure that nothing owns."""
+    return figures.where("zone IS NULL").select(group, F.array("page").alias("source_pages"), F.lit("IMAGE_CLAIM").alias("pass"), "reason", F.lit("").alias("fragment"))
+
+
+def renders(regions: DataFrame, structured: DataFrame, box: list[str], order: list[str]) -> DataFrame:
+    """Table regions to render: those whose table has no text of its own, each box once, by ``order``."""
+    open_ = regions.join(structured.select("table_id").distinct(), "table_id", "left_anti")
+    return open_.groupBy(*box).agg(F.min_by(F.struct(*[c for c in open_.columns if c not in box]), F.struct(*order)).alias("_r")).select(*box, "_r.*")
+
+
 def slot_names(figures: DataFrame, group: str, kind: str, order: list[str]) -> DataFrame:
     """``figures`` with ``name``: a running number for each group and kind; figures that are dropped later keep theirs."""
     n = F.row_number().over(W.partitionBy(group, kind).orderBy(*order))
