@@ -90,3 +90,17 @@ def lookup(rows: DataFrame, q_id: str, term: str, limit: int = LOOKUP_LIMIT) ->
 
 def point_lookup(rows: DataFrame, q_id: str, term: str) -> DataFrame:
     return rows.where(F.upper(F.col(q_id)) == term.strip().upper()).limit(1)
+
+
+def key_states(calls: DataFrame, key: str, ts: str, order: str, outcome: str, most: int = 480, cooldown: int = 60) -> DataFrame:
+    """``calls`` with ``calls``, the key's number of the day, and ``status`` after each: exhausted, cooldown or active.
+
+    A key is spent for the day by its last allowed call, a refusal of the day's quota or of the key
+    itself; after a refusal of the minute's quota it rests. A day starts anew. A key's day is one
+    window, bounded by the quota but for calls that should not have been made.
+    """
+    w = W.partitionBy(key, F.to_date(ts)).orderBy(ts, order).rowsBetween(W.unboundedPreceding, 0)
+    spent = F.max(F.col(outcome).isin("per_day", "bad_key")).over(w)
+    rests = F.max(F.when(F.col(outcome) == "per_minute", F.col(ts))).over(w) + F.expr(f"INTERVAL {cooldown} SECONDS")
+    out = calls.withColumns({"calls": F.count("*").over(w), "_spent": spent, "_rests": rests})
+    return out.withColumn("status", F.when(F.col("_spent") | (F.col("calls") >= most), "exhausted").when(F.col(ts) < F.col("_rests"), "cooldown").otherwise("active")).drop("_spent", "_rests")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +13,41 @@ def bare(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", "")
 
 
+#: Characters that count for nothing when two readings of a page are compared.
+EQUIVALENT = "°→Δ■\"'’‘-–—|"
+
+
+@F.pandas_udf("string")
+def _compatible(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+
+
+def plain(text: Column) -> Column:
+    """``text`` in compatibility form, without the characters of EQUIVALENT and without white space. Plain ASCII stays in the JVM."""
+    text = F.coalesce(text, F.lit(""))
+    composed = F.when(text.rlike(r"[^\x00-\x7F]"), _compatible(text)).otherwise(text)
+    return bare(F.translate(composed, EQUIVALENT, ""))
+
+
+def in_lines(cell: Column, lines: Column) -> Column:
+    """Whether a cell is made of lines of an array, in their order and possibly with others between; an empty cell is.
+
+    Keeps the places in the cell that some choice of lines so far reaches.
+    """
+
+    def step(reached: Column, line: Column) -> Column:
+        fits = F.filter(reached, lambda at: F.substring(cell, at + 1, F.length(line)) == line)
+        return F.when(line == "", reached).otherwise(F.array_distinct(F.concat(reached, F.transform(fits, lambda at: at + F.length(line)))))
+
+    return (cell == "") | F.array_contains(F.aggregate(lines, F.array(F.lit(0)), step), F.length(cell))
+
+
+def cells_printed(cells: DataFrame, lines: DataFrame, key: str, zone: str) -> DataFrame:
+    """``key, ok``: whether each table's non-empty cells (``key, cell``, plain) are printed in the lines (``key, zone, lines``, plain) of one zone or another."""
+    found = cells.where("cell <> ''").join(lines, key, "left").groupBy(key, "cell").agg(F.max(F.coalesce(in_lines(F.col("cell"), F.col("lines")), F.lit(False))).alias("_ok"))
+    return cells.select(key).distinct().join(found.groupBy(key).agg(F.min("_ok").alias("_ok")), key, "left").select(key, F.coalesce("_ok", F.lit(True)).alias("ok"))
+
+
 def not_printed(fields: DataFrame, zones: DataFrame, zone_key: str, text: str, zone: str) -> DataFrame:
     """Fields that their zone does not print, white space apart; blank fields pass."""
     joined = fields.join(zones.select(zone_key, bare(F.col(zone)).alias("_zone")), zone_key).withColumn("_own", bare(F.col(text)))
