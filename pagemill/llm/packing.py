@@ -23,7 +23,7 @@ CAPACITY = 2048
 #: Pieces that are packed together in one task, about; more pieces make more groups alike.
 GROUP_PIECES = 50_000
 #: Tokens of so many distinct words are remembered in a worker, then forgotten.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 60_000
 
 #: The vocabulary's own pattern of words.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"

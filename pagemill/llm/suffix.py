@@ -28,7 +28,7 @@ WIDTH = 100
 #: Bytes of an anchor: the string of this length with the least hash inside a match.
 ANCHOR = 32
 #: Bytes of text in a shard, about; a longer text makes a shard of its own.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 #: An anchor with more places is not kept together: its strings go to buckets of their own, as 128-bit BLAKE2b digests.
 HOT = 4096
 #: Bytes of anchors, and of strings (so many for an anchor), that one bucket gathers, about; the number of buckets follows the data.
