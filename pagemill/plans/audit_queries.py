@@ -107,7 +107,7 @@ UNION ALL SELECT 'numeric_drift' FROM ({NUMERIC_DRIFT}) UNION ALL SELECT 'dup_do
 
 def lost_space(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = docs(spark, sf_dir)
-    return vocab.lost_space_suspects(d, "doc_id", "text", vocab.vocab_words(d, "text")).groupBy(F.col("key").alias("doc_id"), "token").agg(F.count("*").alias("n"))
+    return vocab.lost_space_suspects(d, "doc_id", "text", vocab.vocab_words(d, "text")).withColumnRenamed("key", "doc_id")
 
 
 LOST_SPACE = f"""
@@ -118,7 +118,7 @@ SELECT doc_id, token, count(*) AS n FROM t WHERE lower(token) NOT IN (SELECT wor
 
 def qa_suspects_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = docs(spark, sf_dir)
-    return vocab.joined_pair_suspects(d, "doc_id", "text", vocab.vocab_words(d, "text"), vocab.vocab_pairs(d, "text")).groupBy(F.col("key").alias("doc_id"), "a", "b").agg(F.count("*").alias("n"))
+    return vocab.joined_pair_suspects(d, "doc_id", "text", vocab.vocab_words(d, "text"), vocab.vocab_pairs(d, "text")).withColumnRenamed("key", "doc_id")
 
 
 _FUNCTION = ", ".join(f"'{w}'" for w in vocab.FUNCTION_WORDS)
@@ -141,7 +141,7 @@ def _glued(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = docs(spark, sf_dir)
-    return vocab.token_repairs(_glued(spark, sf_dir), "doc_id", "text", vocab.vocab_words(d, "text"), vocab.vocab_pairs(d, "text")).groupBy(F.col("key").alias("doc_id"), "token", "repaired").agg(F.count("*").alias("n"))
+    return vocab.token_repairs(_glued(spark, sf_dir), "doc_id", "text", vocab.vocab_words(d, "text"), vocab.vocab_pairs(d, "text")).withColumnRenamed("key", "doc_id")
 
 
 TOKEN_REPAIR = f"""

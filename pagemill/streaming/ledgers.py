@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -38,9 +40,25 @@ def once_per(events: DataFrame, ts: str, signature: list[str], late: str = "1 ho
     return events.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", late).dropDuplicatesWithinWatermark(signature)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; a temporary folder where it is unset, in a local session only."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="pagemill-")
+    return base.rstrip("/")
+
+
 def drained(stream: DataFrame, mode: str, name: str) -> DataFrame:
-    """All that the stream has now, in a memory table; for checks on bounded input."""
+    """All that the stream has now, as a table in the shared folder, with its state beside it: nothing is gathered on the driver.
+
+    In complete mode each batch replaces the table, in the others it is added.
+    """
     spark = stream.sparkSession
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name)
+    root = f"{shared_folder(spark)}/{name}"
+    out, how = f"{root}/table", "overwrite" if mode == "complete" else "append"
+    spark.createDataFrame([], stream.schema).write.parquet(out)
+    sink = stream.writeStream.outputMode(mode).foreachBatch(lambda batch, _: batch.write.mode(how).parquet(out))
+    sink.option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
