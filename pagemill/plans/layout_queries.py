@@ -252,6 +252,30 @@ def word_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boxes.word_rows(words, "l_orderkey").groupBy("l_orderkey", "row").agg(F.count("*").alias("n"), F.min("y0").alias("top"))
 
 
+_BOX = "STRUCT(x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE, h BIGINT, v BIGINT)"
+_MEETS = "m.x0 <= b.x1 + {0} AND m.y0 <= b.y1 + {0} AND m.x1 >= b.x0 - {0} AND m.y1 >= b.y0 - {0}"
+RULED_BOXES = f"""WITH RECURSIVE {_PLACED}, rules AS (SELECT l_orderkey, {{'x0': x0, 'y0': y0, 'x1': x1 + 60, 'y1': y0, 'h': 1, 'v': 0}}::{_BOX} AS m FROM placed
+UNION ALL SELECT l_orderkey, {{'x0': x0, 'y0': y0, 'x1': x0, 'y1': y0 + l_partkey % 3 * 15, 'h': 0, 'v': 1}}::{_BOX} FROM placed WHERE l_partkey % 3 > 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY m.y0, m.x0, m.v, m.x1, m.y1) AS rn FROM rules),
+f AS (SELECT l_orderkey, 0::BIGINT AS rn, []::{_BOX}[] AS found FROM (SELECT DISTINCT l_orderkey FROM o)
+UNION ALL SELECT l_orderkey, rn, CASE WHEN len(near) = 0 THEN list_append(found, m) ELSE list_append([b for b in found if NOT ({_MEETS.format(3)})], {{'x0': least(m.x0, list_min([b.x0 for b in near])), 'y0': least(m.y0, list_min([b.y0 for b in near])),
+  'x1': greatest(m.x1, list_max([b.x1 for b in near])), 'y1': greatest(m.y1, list_max([b.y1 for b in near])), 'h': m.h + list_sum([b.h for b in near])::BIGINT, 'v': m.v + list_sum([b.v for b in near])::BIGINT}}) END
+  FROM (SELECT f.l_orderkey, o.rn, m, found, [b for b in found if {_MEETS.format(3)}] AS near FROM f JOIN o ON o.l_orderkey = f.l_orderkey AND o.rn = f.rn + 1)),
+e AS (SELECT l_orderkey, unnest(arg_max(found, rn)) AS b FROM f GROUP BY 1)
+SELECT l_orderkey, b.x0 AS x0, b.y0 AS y0, b.x1 AS x1, b.y1 AS y1, b.h AS n_h, b.v AS n_v FROM e WHERE b.h >= 3 OR (b.h >= 2 AND b.v >= 2)"""
+
+ADJACENT_GROUPS = f"""WITH RECURSIVE {_PLACED}, o AS (SELECT l_orderkey, l_linenumber * 1000000 + l_partkey AS img_no, {{'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1 + l_partkey % 4 * 5, 'h': 0, 'v': 0}}::{_BOX} AS m FROM placed),
+n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY img_no) AS rn FROM o),
+f AS (SELECT l_orderkey, 0::BIGINT AS rn, []::{_BOX}[] AS seen, 0::BIGINT AS made, NULL::BIGINT AS img_no, NULL::BIGINT AS grp FROM (SELECT DISTINCT l_orderkey FROM n)
+UNION ALL SELECT l_orderkey, rn, list_append(seen, struct_update(m, h := g)), greatest(made, g + 1), img_no, g
+  FROM (SELECT f.l_orderkey, n.rn, m, seen, made, n.img_no, coalesce(list_min([b.h for b in seen if {_MEETS.format(4)}]), made) AS g FROM f JOIN n ON n.l_orderkey = f.l_orderkey AND n.rn = f.rn + 1))
+SELECT l_orderkey, img_no, grp FROM f WHERE rn > 0"""
+
+WORD_ROWS = """WITH RECURSIVE w AS (SELECT l_orderkey, (l_partkey % 40)::DOUBLE AS y, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey % 40) AS rn FROM lineitem),
+r AS (SELECT l_orderkey, rn, y, y AS top, 0::BIGINT AS "row" FROM w WHERE rn = 1
+UNION ALL SELECT w.l_orderkey, w.rn, w.y, CASE WHEN w.y - top > 5 THEN w.y ELSE top END, "row" + CASE WHEN w.y - top > 5 THEN 1 ELSE 0 END FROM r JOIN w ON w.l_orderkey = r.l_orderkey AND w.rn = r.rn + 1)
+SELECT l_orderkey, "row", count(*) AS n, min(y) AS top FROM r GROUP BY 1, 2"""
+
 # ---- claims ----------------------------------------------------------------
 
 
@@ -342,6 +366,7 @@ QUERIES = {
     )
 }
 ORACLES = {
+    "ruled_boxes": RULED_BOXES, "adjacent_groups": ADJACENT_GROUPS, "word_rows": WORD_ROWS,
     "census": f"WITH {_NUMBERS}, {_CENSUS} SELECT * FROM census",
     "contiguity_anomalies": f"WITH {_NUMBERS}, {_CENSUS} SELECT l_orderkey, 'duplicate number ' || q_no AS anomaly FROM numbers GROUP BY l_orderkey, q_no HAVING count(*) > 1 UNION ALL SELECT l_orderkey, 'numbers are not 1..' || n FROM census WHERE NOT contiguous",
     "longest_run": LONGEST_RUN,
