@@ -18,9 +18,10 @@ def append_ledger(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """``new`` rows in place of ``old`` ones of the same key; keys keep no order."""
-    return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
+def upsert(old: DataFrame, new: DataFrame, key: str, seq: str) -> DataFrame:
+    """``new`` rows in place of ``old`` ones of the same key, of several new ones the last by ``seq``; keys keep no order."""
+    last = new.groupBy(key).agg(F.max_by(F.struct(*new.columns), seq).alias("r")).select("r.*")
+    return old.join(last.select(key), key, "left_anti").unionByName(last)
 
 
 def ledger_subject(subject: str = "subject", key: str = "key") -> Column:
