@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def bare(text: Column) -> Column:
@@ -17,7 +18,7 @@ def bare(text: Column) -> Column:
 EQUIVALENT = "°→Δ■\"'’‘-–—|"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _compatible(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
