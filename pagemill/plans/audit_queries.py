@@ -134,6 +134,35 @@ WHERE p.w1 IS NULL AND NOT regexp_matches(a, '^[A-Z]') AND NOT regexp_matches(b,
 AND j.n >= 2 AND j.n > coalesce(x.n, 0) AND j.n > coalesce(y.n, 0) GROUP BY 1, 2, 3"""
 
 
+def _torn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in which some words have come apart and others have run together."""
+    x = F.replace(F.replace(F.replace(F.col("text"), F.lit(" the "), F.lit(" the")), F.lit(" and "), F.lit("and")), F.lit("tion"), F.lit("t ion"))
+    return docs(spark, sf_dir).select("doc_id", x.alias("text"))
+
+
+def qa_suspects_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vocab.fragment_suspects(_torn(spark, sf_dir), "doc_id", "text", vocab.vocab_words(docs(spark, sf_dir), "text")).withColumnRenamed("key", "doc_id")
+
+
+QA_SUSPECTS_FRAGMENTS = f"""
+WITH {ROW_WORDS}, v AS (SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM row_words) GROUP BY word), v2 AS (SELECT word FROM v WHERE n >= 2),
+t AS (SELECT doc_id, regexp_extract_all(replace(replace(replace(coalesce(text, ''), ' the ', ' the'), ' and ', 'and'), 'tion', 't ion'), '[A-Za-z]{{2,}}') AS t FROM documents),
+p AS (SELECT doc_id, unnest(list_transform(range(1, len(t) + 1), lambda i: {{'token': t[i], 'b': CASE WHEN i > 1 THEN t[i - 1] END, 'a': CASE WHEN i < len(t) THEN t[i + 1] END}}), recursive := true) FROM t),
+r AS (SELECT token, lower(token) AS w, coalesce(v.n, 0) AS n FROM (SELECT DISTINCT token FROM p) LEFT JOIN v ON v.word = lower(token) WHERE NOT regexp_matches(token, '^[A-Z]') AND lower(token) NOT IN ({_FUNCTION}, 'antihelix') AND coalesce(v.n, 0) < 2),
+blob AS (SELECT token FROM r WHERE len(w) >= 16 AND n = 0),
+c2 AS (SELECT token, w[1:i] AS h, w[i + 1:] AS t FROM (SELECT token, w, unnest(range(1, len(w))) AS i FROM r WHERE len(w) >= 3) WHERE w[1:i] IN ({_FUNCTION}) OR w[i + 1:] IN ({_FUNCTION})),
+two AS (SELECT token FROM c2 WHERE h IN (FROM v2) AND t IN (FROM v2)),
+c3 AS (SELECT token, w[i + 1:] AS rest FROM (SELECT token, w, unnest(range(2, len(w) - 4)) AS i FROM r WHERE len(w) >= 6) WHERE w[1:i] IN ({_FUNCTION})),
+three AS (SELECT token FROM (SELECT token, rest, unnest(range(3, len(rest) - 2)) AS j FROM c3) WHERE rest[1:j] IN (FROM v2) AND rest[j + 1:] IN (FROM v2)),
+alone AS (SELECT token FROM blob UNION SELECT token FROM two UNION SELECT token FROM three),
+e AS (SELECT DISTINCT unnest([word[1:i], word[len(word) - i + 1:]]) AS word FROM (SELECT word, unnest(range(2, len(word))) AS i FROM v)),
+fr AS (SELECT token FROM r WHERE len(w) >= 3 AND token NOT IN (FROM alone) AND w IN (FROM e)),
+s AS (SELECT doc_id, token, b, a, count(*) AS n FROM p WHERE token IN (FROM fr) GROUP BY ALL),
+ok AS (SELECT * FROM s WHERE (b IS NOT NULL AND lower(b) NOT IN ({_FUNCTION}) AND (lower(b || token) IN (SELECT word FROM v) OR lower(token || b) IN (SELECT word FROM v))) OR (a IS NOT NULL AND lower(a) NOT IN ({_FUNCTION}) AND (lower(a || token) IN (SELECT word FROM v) OR lower(token || a) IN (SELECT word FROM v)))),
+every AS (SELECT doc_id, token, 1 AS n FROM p WHERE token IN (FROM alone) UNION ALL SELECT doc_id, token, n FROM ok)
+SELECT doc_id, token, sum(n)::BIGINT AS n FROM every GROUP BY 1, 2"""
+
+
 def _glued(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that have lost the space before every 'the' and after every comma."""
     return docs(spark, sf_dir).select("doc_id", F.regexp_replace(F.regexp_replace("text", " the ", "the "), ", ", ",").alias("text"))
@@ -260,7 +289,7 @@ _SHOWN = rf"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(reg
 QUERIES = {
     f.__name__: f
     for f in (
-        dup_documents, vocab_words, vocab_pairs, numeric_tokens, numeric_drift, thin_options, bad_answer, flags_by_kind, lost_space, qa_suspects_pairs, token_repair,
+        dup_documents, vocab_words, vocab_pairs, numeric_tokens, numeric_drift, thin_options, bad_answer, flags_by_kind, lost_space, qa_suspects_pairs, qa_suspects_fragments, token_repair,
         glyph_repair, glyph_counts, camel_split, space_before_punct, bracket_padding, multi_space, verified_merges, spacing_fix, fingerprints, display_text,
     )
 }
@@ -275,6 +304,7 @@ ORACLES = {
     "flags_by_kind": FLAGS_BY_KIND,
     "lost_space": LOST_SPACE,
     "qa_suspects_pairs": QA_SUSPECTS_PAIRS,
+    "qa_suspects_fragments": QA_SUSPECTS_FRAGMENTS,
     "token_repair": TOKEN_REPAIR,
     "glyph_repair": GLYPH_REPAIR,
     "glyph_counts": GLYPH_COUNTS,
