@@ -274,6 +274,19 @@ _SPACED = f"WITH {_broken_sql(BROKEN_SPACING)}"
 CAMEL = r"regexp_replace(regexp_replace(text, '([a-z]{2})([A-Z][a-z])', '\1 \2', 'g'), '([a-z]{2})([A-Z][a-z])', '\1 \2', 'g')"
 PUNCT = rf"regexp_replace(text, '([^\s]) +([.,;:?!])', '\1\2', 'g')"
 
+_INK = _SPACE.replace("[", "[^", 1)
+#: The spacing rules without look-around: what a rule looks at is matched and put back, twice, as matches may meet.
+_RULES = (
+    ("([0-9])(st|nd|rd|th)([A-Za-z])", r"\1\2 \3"), ("([A-Za-z])([0-9]{1,2}(?:st|nd|rd|th))([^0-9A-Za-z]|$)", r"\1 \2\3"), ("([A-Za-z])([CDTLS][0-9]{1,2})([^0-9A-Za-z]|$)", r"\1 \2\3"), ("([CDTLS][0-9])([a-z])", r"\1 \2"),
+    (f"({_INK}) +([.,;:?!])", r"\1\2"), (f"(^|[^0-9]): *({_INK.replace('[^', '[^:/', 1)})", r"\1: \2"), ("([a-z])([.?!])([A-Z])", r"\1\2 \3"), (f"({_INK.replace('[^', '[^(', 1)}) *\\(", r"\1 ("), ("\\) *([A-Za-z0-9(])", r") \1"),
+    (f"\\({_SPACE}+", "("), (f"{_SPACE}+\\)", ")"), (" {2,}", " "),
+)
+_FIXED = "text"
+for _pattern, _by in _RULES:
+    for _ in range(2):
+        _FIXED = f"regexp_replace({_FIXED}, '{_pattern}', '{_by}', 'g')"
+SPACING_FIX = f"{_SPACED} SELECT doc_id, {_FIXED} AS text FROM broken"
+
 
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs(spark, sf_dir).select("doc_id", T.fingerprint("text").alias("fp"), T.short_fingerprint("text").alias("fp8"))
@@ -298,6 +311,7 @@ ORACLES = {
     "vocab_words": VOCAB_WORDS,
     "vocab_pairs": VOCAB_PAIRS,
     "numeric_tokens": NUMERIC_TOKENS,
+    "spacing_fix": SPACING_FIX,
     "numeric_drift": NUMERIC_DRIFT,
     "thin_options": f"WITH {_OPTIONS} {_THIN}",
     "bad_answer": f"WITH {_OPTIONS}, {_ANSWERS} {_BAD}",
