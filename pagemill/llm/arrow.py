@@ -68,6 +68,18 @@ def releasing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
 
 
+def released(work: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """``work`` on one group, and ``release`` after it."""
+
+    def run(t: pa.Table) -> pa.Table:
+        try:
+            return work(t)
+        finally:
+            release()
+
+    return run
+
+
 def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     col = col.cast(pa.large_string())
     if col.null_count:

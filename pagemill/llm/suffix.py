@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .arrow import Hasher, buffers, releasing, row_chunks
+from .arrow import Hasher, buffers, released, releasing, row_chunks
 from .staging import Staging
 
 WIDTH = 100
@@ -443,8 +443,8 @@ def deduplicate(spark: SparkSession, docs: DataFrame, width: int = WIDTH, anchor
     whole, anchors = first.where(F.col("kind") != _ANCHORS), first.where(F.col("kind") == _ANCHORS)
     n = anchors.agg(F.sum(F.col("bucket").cast("long"))).first()[0] or 0
     few, many = (max(1, -(-n * size // most)) for size, most in ((8, ANCHOR_BUCKET_BYTES), (_STRINGS_OF_ANCHOR, STRING_BUCKET_BYTES)))
-    common = anchors.mapInArrow(lambda it: _split(it, few), _ROWS).groupBy("bucket").applyInArrow(lambda t: _common_anchors(t, hot), _ROWS)
-    sent = whole.unionByName(common).groupBy("shard").applyInArrow(lambda t: _sent(t, doc_id, text, width, anchor, many), _ROWS)
-    later = sent.groupBy("bucket", "kind").applyInArrow(_merged, _ROWS)
+    common = anchors.mapInArrow(lambda it: _split(it, few), _ROWS).groupBy("bucket").applyInArrow(released(lambda t: _common_anchors(t, hot)), _ROWS)
+    sent = whole.unionByName(common).groupBy("shard").applyInArrow(released(lambda t: _sent(t, doc_id, text, width, anchor, many)), _ROWS)
+    later = sent.groupBy("bucket", "kind").applyInArrow(released(_merged), _ROWS)
     schema = StructType(list(base.schema.fields) + _NEW)
-    return whole.unionByName(later).groupBy("shard").applyInArrow(lambda t: _results(t, text, [f.name for f in _NEW], width), schema)
+    return whole.unionByName(later).groupBy("shard").applyInArrow(released(lambda t: _results(t, text, [f.name for f in _NEW], width)), schema)
