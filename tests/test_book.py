@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from pagemill.operators import boxes, claims, layout, pages, proposals, report, review, rows, tables
+from pagemill.operators import book as whole
+from pagemill.operators import boxes, layout, pages, proposals, report, review, rows, tables
 from pagemill.sources import sinks
 from pagemill.sources import tables as sources
 
@@ -21,42 +22,32 @@ BOOK = [
 
 @pytest.fixture(scope="module")
 def book(spark):
-    lines = spark.createDataFrame([(p, i, 72.0, y, 300.0, y + 11, t, s) for i, (p, y, t, s) in enumerate(BOOK)], "page int, line_no int, x0 double, y0 double, x1 double, y1 double, text string, size double")
-    foot = pages.is_footer(F.col("text"), F.col("page") - 1, F.col("y1"), F.lit(842.0))
-    assert lines.where(foot).count() == 2
+    lines = spark.createDataFrame([("B", p, i, 72.0, y, y + 11, t, s, 842.0) for i, (p, y, t, s) in enumerate(BOOK)], "subject string, page int, line_no int, x0 double, y0 double, y1 double, text string, size double, height double")
     toc = spark.createDataFrame([("B", 1, "First ...", 1), ("B", 2, "Second ...", 3)], "subject string, chapter_no int, title string, printed_start int")
-    spans = rows.chapter_ranges(toc, 1, 5)
-    return lines.where(~foot).join(spans, F.col("page").between(F.col("file_start"), F.col("file_end"))), toc
+    return lines, toc
 
 
-def test_book_from_lines_to_rows(spark, book):
-    lines, toc = book
+def test_book_chapters(spark, book):
+    lines = whole.chapters(*book, 1, 5)
+    assert lines.count() == len(BOOK) - 2  # two footers
     scan = {r.chapter_no: r for r in pages.chapter_scans(lines, "chapter_no", ["page", "y0"], "text").collect()}
     assert [(scan[c].question_numbers, scan[c].solution_numbers, scan[c].anomalies) for c in (1, 2)] == [([1, 2], [1, 2], []), ([1], [1], [])]
-    titles = pages.chapter_titles(lines, "chapter_no", ["page", "y0"], "text", "size", toc, "title")
+    titles = pages.chapter_titles(lines, "chapter_no", ["page", "y0"], "text", "size", book[1], "title")
     assert {r.chapter_no: r.title for r in titles.collect()} == {1: "First Chapter", 2: "Second Chapter"}
 
-    key = F.when(F.col("text").rlike(layout.ANSWER_KEY), "KEY").when(F.col("text").rlike(layout.QUESTION), "Q").when(F.col("text").rlike(layout.SOLUTION), "SOL")
-    pos = F.struct("page", "y0")
-    heads = lines.withColumns({"zone": key, "pos": pos}).where("zone IS NOT NULL").select("chapter_no", "pos", "zone", F.regexp_extract("text", r"(\d+)", 1).try_cast("int").alias("q_no"), F.col("page").alias("head_page"))
-    body = claims.owners(lines.withColumn("pos", pos).where(key.isNull()), heads, "chapter_no", "pos").where("zone IS NOT NULL")
-    marker = F.regexp_extract(F.col("text"), r"^([a-d])\)", 1)
-    stems = body.where((F.col("zone") == "Q") & (marker == "")).groupBy("chapter_no", "q_no").agg(F.array_join(F.sort_array(F.collect_list("text")), " ").alias("question_text"))
-    options = body.where(marker != "").groupBy("chapter_no", "q_no").agg(F.map_from_entries(F.collect_list(F.struct(F.upper(marker), F.regexp_replace("text", r"^[a-d]\)\s*", "")))).alias("options"))
-    answers = body.where("zone = 'SOL'").groupBy("chapter_no", "q_no").agg(F.array_join(F.sort_array(F.collect_list("text")), " ").alias("solution_text"))
-    at = lambda zone, name: heads.where(F.col("zone") == zone).select("chapter_no", "q_no", F.col("head_page").alias(name))
-    printed = spark.createDataFrame([(3, 120.0, ["1", "a"]), (3, 136.0, ["2", "B"]), (3, 152.0, ["Question No.", "Correct Option"]), (5, 220.0, ["1  c"]), (5, 240.0, ["stray"])], "page int, y0 double, words array<string>")
-    keyed = pages.key_rows(printed, "words").withColumn("chapter_no", F.when(F.col("page") < 4, 1).otherwise(2))
-    assert [r.anomaly for r in keyed.where("anomaly IS NOT NULL").collect()] == ["answer-key zone line not a key row: stray"]
-    keys = keyed.where("q_no IS NOT NULL").select("chapter_no", "q_no", "letter", F.col("page").alias("key_page"), F.struct("page", "y0").alias("pos"))
-    on = ["chapter_no", "q_no"]
-    recs = rows.records(at("Q", "q_header_page"), keys, at("SOL", "s_header_page"), on).join(stems, on, "left").join(options, on, "left").join(answers, on, "left")
-    recs = recs.withColumns({"options": F.coalesce("options", F.create_map().cast("map<string,string>")), "subject": F.lit("B"), "glyph_fixes": F.create_map().cast("map<string,bigint>")})
-    out = rows.fan_out(rows.graded(recs))
-    assert {(r.q_id, r.question_text, r.qa_status) for r in out["question"].collect()} == {("B-001-001", "What holds bone?", "READY"), ("B-001-002", "Which gland?", "READY"), ("B-002-001", "A stem alone.", "INCOMPLETE")}
+
+def test_book_from_lines_to_rows(spark, book):
+    printed = [(3, 40.0, ["9", "d"]), (3, 120.0, ["1", "a"]), (3, 136.0, ["2", "B"]), (3, 152.0, ["Question No.", "Correct Option"]), (5, 220.0, ["1  c"]), (5, 240.0, ["stray"])]
+    words = spark.createDataFrame([("B", *x) for x in printed], "subject string, page int, y0 double, words array<string>")
+    out = whole.rows_of(book[0], words, book[1], 1, 5)
+    assert {(r.q_id, r.question_text, r.qa_status, r.q_id_grade) for r in out["question"].collect()} == {
+        ("B-001-001", "What holds bone?", "READY", "RESOLVED_ANCHORED"), ("B-001-002", "Which gland?", "READY", "RESOLVED_ANCHORED"), ("B-002-001", "A stem alone.", "INCOMPLETE", "RESOLVED_ANCHORED")}
+    assert {(r.q_id, tuple(o.text for o in r.options), tuple(r.source_pages)) for r in out["question"].collect()} == {
+        ("B-001-001", ("collagen", "water", "salt", "air"), (2, 3)), ("B-001-002", ("one", "two", "three", "four"), (2, 3)), ("B-002-001", ("", "", "", ""), (4, 5))}
     assert {(r.q_id, r.correct_option) for r in out["answer"].collect()} == {("B-001-001", "A"), ("B-001-002", "B"), ("B-002-001", "C")}
-    assert {(r.q_id, r.solution_text, tuple(r.missing_fields)) for r in out["solution"].collect()} == {("B-001-001", "Collagen does.", ()), ("B-001-002", "The second.", ()), ("B-002-001", None, ("solution_text",))}
+    assert {(r.q_id, r.solution_text, tuple(r.missing_fields)) for r in out["solution"].collect()} == {("B-001-001", "Collagen does.", ()), ("B-001-002", "The second.", ()), ("B-002-001", "", ("solution_text",))}
     assert out["unresolved"].count() == 0
+    assert [(r.chapter_no, r.question_records, r.incomplete_solutions) for r in out["completeness"].orderBy("chapter_no").collect()] == [(1, 2, 0), (2, 1, 1)]
 
 
 def test_grades_reasons_and_unresolved(spark):

@@ -1,7 +1,10 @@
 """Every named query against its SQL on the smallest tables."""
 
 import math
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -47,3 +50,8 @@ def test_no_cartesian_products(spark):
     for name in ("dup_documents", "numeric_drift", "question_blocks", "figure_claims", "box_lines"):
         plan = catalog.QUERIES[name](spark, DIR)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_entry_imports_without_a_session():
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parent.parent)
