@@ -104,3 +104,39 @@ def key_states(calls: DataFrame, key: str, ts: str, order: str, outcome: str, mo
     rests = F.max(F.when(F.col(outcome) == "per_minute", F.col(ts))).over(w) + F.expr(f"INTERVAL {cooldown} SECONDS")
     out = calls.withColumns({"calls": F.count("*").over(w), "_spent": spent, "_rests": rests})
     return out.withColumn("status", F.when(F.col("_spent") | (F.col("calls") >= most), "exhausted").when(F.col(ts) < F.col("_rests"), "cooldown").otherwise("active")).drop("_spent", "_rests")
+
+
+def key_summary(states: DataFrame, key: str, order: str) -> DataFrame:
+    """``key, calls, status`` as the last state of each key has it."""
+    return states.groupBy(key).agg(F.max_by(F.struct("calls", "status"), order).alias("r")).select(key, "r.*")
+
+
+def whole_questions(questions: DataFrame, answers: DataFrame, solutions: DataFrame, q_id: str = "q_id") -> DataFrame:
+    """Questions with their answer and solution, ids compared without case; either may be absent."""
+    keyed = lambda df, name: df.select(F.upper(q_id).alias("_q"), F.struct(*[c for c in df.columns if c != q_id]).alias(name)).groupBy("_q").agg(F.first(name).alias(name))
+    return questions.withColumn("_q", F.upper(q_id)).join(keyed(answers, "answer"), "_q", "left").join(keyed(solutions, "solution"), "_q", "left").drop("_q")
+
+
+def tables_edited(rows: DataFrame, edits: DataFrame, key: str, tables: str = "tables") -> DataFrame:
+    """``rows`` whose tables (array of structs with ``table_id`` and ``markdown``) take their edit, or go where it deletes them.
+
+    ``edits`` are the latest for each ``key`` and ``table_id``: ``markdown``, or null to delete. A row's edits
+    are gathered, few for each row; nothing is done to rows without any.
+    """
+    own = edits.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("table_id", F.struct("markdown").alias("e")))).alias("_e"))
+    edit = lambda t: F.try_element_at(F.col("_e"), t["table_id"])
+    kept = F.filter(tables, lambda t: edit(t).isNull() | edit(t)["markdown"].isNotNull())
+    changed = F.transform(kept, lambda t: t.withField("markdown", F.coalesce(edit(t)["markdown"], t["markdown"])))
+    return rows.join(own, key, "left").withColumn(tables, F.when(F.col("_e").isNull(), F.col(tables)).otherwise(changed)).drop("_e")
+
+
+def pages_to_crop(tables: DataFrame, done: DataFrame, subject: str) -> DataFrame:
+    """``subject, page``: pages of flagged tables that have no crop yet, each once."""
+    wanted = tables.select(subject, F.explode("source_pages").alias("page")).distinct()
+    return wanted.join(done.select(subject, "page").distinct(), [subject, "page"], "left_anti")
+
+
+def upload_faults(files: DataFrame, content: str, most_bytes: int = 400 << 20) -> DataFrame:
+    """``files`` with ``fault``: null, or why one is no book."""
+    head = F.decode(F.substring(content, 1, 5), "ISO-8859-1")
+    return files.withColumn("fault", F.when(F.octet_length(content) > most_bytes, "too large").when(head != "%PDF-", "no PDF"))

@@ -69,3 +69,31 @@ def key_differs(answers: DataFrame, printed: DataFrame, key: list[str], answer:
 def both(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Keys on both sides, where there should be none."""
     return a.select(key).join(b.select(key), key, "left_semi").distinct()
+
+
+#: Lines that open the verifier's zones, and lines that are no content of a zone.
+KEY_LINE, SOLUTION_LINE = r"(?i)^Answer\s*Key\s*$", r"(?i)^Solution\s+to\s+Question\s+(\d+)\s*:\s*$"
+FURNITURE = (r"(?i)^Question\s+\d+\s*:\s*$", SOLUTION_LINE, r"(?i)^Detailed\s+Explanations?\s*$", r"^\d{1,3}\s+[a-dA-D]$", KEY_LINE)
+MARKER = r"^[a-d]\)"
+
+
+def zones(lines: DataFrame, chapter: str, order: list[str], text: str) -> DataFrame:
+    """``lines`` with ``zone``: Q up to the first key line, which is in none, K up to the first solution header after it, S from there on."""
+    pos = F.struct(*order)
+    marked = lines.withColumn("_pos", pos)
+    key = marked.groupBy(chapter).agg(F.min(F.when(F.col(text).rlike(KEY_LINE), F.col("_pos"))).alias("_k"))
+    both = marked.join(key, chapter)
+    sol = both.where(F.col(text).rlike(SOLUTION_LINE) & (F.col("_pos") > F.col("_k"))).groupBy(chapter).agg(F.min("_pos").alias("_s"))
+    out = both.join(sol, chapter, "left").where(F.col("_k").isNull() | (F.col("_pos") != F.col("_k")))
+    zone = F.when(F.col("_k").isNull() | (F.col("_pos") < F.col("_k")), "Q").when(F.col("_s").isNull() | (F.col("_pos") < F.col("_s")), "K").otherwise("S")
+    return out.withColumn("zone", zone).drop("_pos", "_k", "_s")
+
+
+def zone_texts(zoned: DataFrame, chapter: str, order: list[str], text: str) -> DataFrame:
+    """``chapter, zone, printed``: the plain text of each zone's content, headers left out and option markers cut."""
+    content = zoned
+    for pattern in FURNITURE:
+        content = content.where(~F.col(text).rlike(pattern))
+    listed = F.array_sort(F.collect_list(F.struct(*order, F.regexp_replace(text, MARKER, "").alias("_t"))))
+    joined = content.groupBy(chapter, "zone").agg(F.array_join(F.transform(listed, lambda x: x["_t"]), " ").alias("_t"))
+    return joined.select(chapter, "zone", plain(F.col("_t")).alias("printed"))
