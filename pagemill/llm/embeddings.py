@@ -134,50 +134,83 @@ def _forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([empty, *child]), np.concatenate([empty, *parent])
 
 
+def _ends(col: pa.Array) -> np.ndarray:
+    """Where each row of a binary or list column begins in its values, and where the last ends."""
+    return np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1]
+
+
+class _Rows:
+    """Columns of the vectors of some buckets, taken out of Arrow once for all of them."""
+
+    def __init__(self, t: pa.Table) -> None:
+        t = t.combine_chunks()
+        col = lambda c: t.column(c).chunk(0) if t.num_rows else t.column(c).combine_chunks()
+        self.ids, self.side, self.copies, self.lo, self.hi, self.filter = (t.column(c).to_numpy() for c in ("vec_id", "side", "copies", "lo", "hi", "filter"))
+        self.label = t.column("label").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        vec, passes = col("vec"), col("filters")
+        self.vec_ends, self.pass_ends = _ends(vec), _ends(passes)
+        self.size = np.diff(self.vec_ends)
+        self._bytes = memoryview(vec.buffers()[2])
+        self._passes = passes.values.to_numpy()
+        self._unit = self._of(np.arange(t.num_rows)) if len(set(self.size.tolist())) == 1 else None
+
+    def _of(self, at: np.ndarray) -> np.ndarray:
+        whole = b"".join(self._bytes[a:b] for a, b in zip(self.vec_ends[at].tolist(), self.vec_ends[at + 1].tolist(), strict=True))
+        x = np.frombuffer(whole, "<f8").reshape(len(at), -1)
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    def unit(self, at: np.ndarray) -> np.ndarray:
+        return self._of(at) if self._unit is None else self._unit[at]
+
+    def passes(self, at: np.ndarray) -> list[np.ndarray]:
+        return [self._passes[a:b] for a, b in zip(self.pass_ends[at].tolist(), self.pass_ends[at + 1].tolist(), strict=True)]
+
+    def groups(self, a: int, b: int) -> list[np.ndarray]:
+        """A bucket is known by a hash: its rows of one label, filter and dimension each."""
+        at = np.arange(a, b)
+        key = np.stack([self.label[a:b], self.filter[a:b], self.size[a:b]], axis=1)
+        if (key == key[0]).all():
+            return [at]
+        _, which = np.unique(key, axis=0, return_inverse=True)
+        return [at[which.ravel() == k] for k in range(int(which.max()) + 1)]
+
+
 def _compared(batches: Iterable[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     """Of each block, in order of the rows: how many rows each vector is linked to (``a``, ``b``), and links ``a > b`` that join what is linked.
 
     Linear in the vectors of a block, however many of them are linked. A pair counts in the first filter that both pass only.
     """
-    held: list[pa.RecordBatch] = []
-
-    def flushed() -> Iterator[pa.RecordBatch]:
-        if not held:
-            return
-        t = pa.Table.from_batches(held).combine_chunks()
-        held.clear()
-        ids, side, copies = (t.column(c).to_numpy() for c in ("vec_id", "side", "copies"))
-        raw, passes = t.column("vec").to_pylist(), [np.asarray(f, np.int64) for f in t.column("filters").to_pylist()]
-        apart = t.column("lo")[0].as_py() != t.column("hi")[0].as_py()
-        # buckets are known by a hash: what differs in label, filter or dimension is told apart here
-        groups: dict[tuple, list[int]] = {}
-        for k, key in enumerate(zip(t.column("label").to_pylist(), t.column("filter").to_pylist(), map(len, raw), strict=True)):
-            groups.setdefault(key, []).append(k)
-        for (_, filter_, _), members in groups.items():
-            if len(members) < 2:
-                continue
-            at = np.array(members)
-            x = np.frombuffer(b"".join(raw[k] for k in members), "<f8").reshape(len(at), -1)
-            linked, counts = _linked(x / np.linalg.norm(x, axis=1, keepdims=True), [passes[k] for k in members], filter_, side[at] if apart else None, least)
-            n = counts @ copies[at]
-            some = np.flatnonzero(n)
-            child, parent = (ids[at[e]] for e in _forest(linked))
-            a, b = np.concatenate([ids[at[some]], np.maximum(child, parent)]), np.concatenate([n[some], np.minimum(child, parent)])
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(a)) >= len(some)), pa.array(a), pa.array(b)], names=["is_link", "a", "b"])
-
-    now = None
+
+    def results(t: pa.Table, cuts: list[int]) -> Iterator[pa.RecordBatch]:
+        rows, out = _Rows(t), []
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            for at in rows.groups(lo, hi) if hi - lo > 1 else ():
+                if len(at) < 2:
+                    continue
+                across = rows.side[at] if rows.lo[lo] != rows.hi[lo] else None
+                x = rows.unit(at)
+                if len(at) <= 64 and np.count_nonzero(x @ x.T >= least) <= len(at):
+                    continue  # nothing but each vector with itself
+                linked, counts = _linked(x, rows.passes(at), int(rows.filter[at[0]]), across, least)
+                n = counts @ rows.copies[at]
+                some = np.flatnonzero(n)
+                child, parent = (rows.ids[at[e]] for e in _forest(linked))
+                out.append((np.repeat([False, True], [len(some), len(child)]), np.concatenate([rows.ids[at[some]], np.maximum(child, parent)]), np.concatenate([n[some], np.minimum(child, parent)])))
+        if out:
+            is_link, a, b = (np.concatenate(c) for c in zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(is_link), pa.array(a), pa.array(b)], names=["is_link", "a", "b"])
+
+    rest = None
     for batch in batches:
-        keys = np.stack([batch.column(c).to_numpy() for c in ("bucket", "lo", "hi")], axis=1)
-        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            if b > a:
-                key = tuple(keys[a].tolist())
-                if key != now:
-                    yield from flushed()
-                    now = key
-                held.append(batch.slice(a, b - a))
-    yield from flushed()
+        t = pa.Table.from_batches([batch])
+        t = (pa.concat_tables([rest, t]) if rest is not None else t).combine_chunks()
+        keys = np.stack([t.column(c).to_numpy() for c in ("bucket", "lo", "hi")], axis=1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()]
+        if len(cuts) > 1:
+            yield from results(t.slice(0, cuts[-1]), cuts)
+        rest = t.slice(cuts[-1])
+    if rest is not None and rest.num_rows:
+        yield from results(rest, [0, rest.num_rows])
 
 
 def near_duplicates(spark: SparkSession, vectors: DataFrame, least: float = COSINE, block: int = BLOCK, vec_id: str = "vec_id", vec: str = "embedding", label: str = "label") -> DataFrame:
