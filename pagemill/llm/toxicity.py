@@ -25,6 +25,8 @@ TOXIC_BYTES = (4096, 2048, 1024, 512, 256)
 #: Bytes of the strings whose document counts tell toxic passages from others, and toxic texts that must have one.
 GRAM = 6
 LEAST_TEXTS = 3
+#: Bytes of toxic text whose strings are counted at once.
+PART_BYTES = 8 << 20
 THRESHOLD = 0.3
 
 _WINDOWS = re.compile(rb"[\s\S]{1,%d}(?=\s|\Z)|[\s\S]{%d}" % (WINDOW - 1, WINDOW))
@@ -119,12 +121,13 @@ def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
 
 
-def _document_counts(texts: list[bytes], among: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct grams and in how many texts each is; of those in the sorted ``among`` only, if given. Grows with the distinct grams."""
+def _document_counts(texts: list[bytes], part: int, parts: int, among: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of one residue and in how many texts each is; of those in the sorted ``among`` only, if given."""
     grams, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     held: list[np.ndarray] = []
     for k, t in enumerate(texts):
         g = np.unique(_grams(t))
+        g = g[g % np.uint64(parts) == part] if parts > 1 else g
         held.append(g if among is None else g[_among(g, among)])
         if sum(map(len, held)) > 1 << 22 or k == len(texts) - 1:
             new, n = np.unique(np.concatenate(held), return_counts=True)
@@ -135,12 +138,20 @@ def _document_counts(texts: list[bytes], among: np.ndarray | None = None) -> tup
 
 
 def telling(toxic: list[bytes], ordinary: list[bytes]) -> np.ndarray:
-    """Sorted grams that more toxic texts have than their share: by the likelihood ratio of the two document counts, beyond chance for as many grams as there are."""
-    grams, a = _document_counts(toxic)
-    grams, a = grams[a >= LEAST_TEXTS], a[a >= LEAST_TEXTS]
-    seen, n = _document_counts(ordinary, grams)
-    b = np.zeros(len(grams), np.int64)
-    b[np.searchsorted(grams, seen)] = n
+    """Sorted grams that more toxic texts have than their share: by the likelihood ratio of the two document counts, beyond chance for as many grams as there are.
+
+    Grams are counted one residue after the other, so that memory does not grow with the texts.
+    """
+    parts = max(1, -(-sum(map(len, toxic)) // PART_BYTES))
+    found = []
+    for part in range(parts):
+        grams, a = _document_counts(toxic, part, parts)
+        grams, a = grams[a >= LEAST_TEXTS], a[a >= LEAST_TEXTS]
+        seen, n = _document_counts(ordinary, part, parts, grams)
+        b = np.zeros(len(grams), np.int64)
+        b[np.searchsorted(grams, seen)] = n
+        found.append((grams, a, b))
+    grams, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
     p, q, both = a / len(toxic), b / len(ordinary), (a + b) / (len(toxic) + len(ordinary))
 
     def fit_of(k: np.ndarray, m: int, share: np.ndarray) -> np.ndarray:
@@ -148,7 +159,7 @@ def telling(toxic: list[bytes], ordinary: list[bytes]) -> np.ndarray:
         return k * np.log(share) + (m - k) * np.log(1 - share)
 
     ratio = 2 * (fit_of(a, len(toxic), p) + fit_of(b, len(ordinary), q) - fit_of(a, len(toxic), both) - fit_of(b, len(ordinary), both))
-    return grams[(p > q) & (ratio > 2 * np.log(max(len(grams), 2)) + 10)]
+    return np.sort(grams[(p > q) & (ratio > 2 * np.log(max(len(grams), 2)) + 10)])
 
 
 def _passages(texts: list[bytes], grams: np.ndarray) -> list[bytes]:
