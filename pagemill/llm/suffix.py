@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -196,6 +197,23 @@ def _unpacked(blob: bytes) -> pa.Table:
     return pa.ipc.open_stream(blob).read_all()
 
 
+def _steps(x: np.ndarray) -> np.ndarray:
+    return np.diff(x, prepend=0)
+
+
+def _squeezed(doc: np.ndarray, row: np.ndarray, pos: np.ndarray, length: np.ndarray, body: bytes) -> bytes:
+    """Strings with their documents and places, in one compressed frame: most are too few for a table of their own."""
+    cols = (_steps(doc), _steps(row), _steps(pos), length)
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([np.int64(len(doc)).tobytes(), *(c.astype(np.int64).tobytes() for c in cols), body]))
+
+
+def _opened(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    steps = np.frombuffer(raw, np.int64, 4 * n, 8).reshape(4, n)
+    return (*np.cumsum(steps[:3], axis=1), steps[3], raw[8 + 32 * n :])
+
+
 def _text(table: pa.Table, text: str) -> tuple[np.ndarray, np.ndarray]:
     return buffers(table.column(text).cast(pa.large_string()).combine_chunks())
 
@@ -283,9 +301,6 @@ def _digests(data: np.ndarray, places: np.ndarray, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(hashlib.blake2b(body[p : p + width], digest_size=16).digest() for p in places.tolist()), np.uint64).reshape(-1, 2)
 
 
-_ORDER = [("doc", pa.int64()), ("row", pa.int64()), ("pos", pa.int64())]
-
-
 def _sent(table: pa.Table, doc_id: str, text: str, width: int, anchor: int, buckets: int) -> pa.Table:
     """Of one shard: the strings left that may occur in other shards, to the buckets of their anchors."""
     kinds = _column(table, "kind")
@@ -332,27 +347,30 @@ def _sent(table: pa.Table, doc_id: str, text: str, width: int, anchor: int, buck
         doc = np.searchsorted(offs, first, "right") - 1
         where = (key % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(where, kind="stable")
-        parts = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(bodies)]).take(pa.array(order))
-        batch = pa.table({"doc": ids[doc[order]], "row": doc[order], "pos": first[order], "bytes": parts})
-        edges = np.searchsorted(where[order], np.arange(buckets + 1))
-        rows += [(shard, span, b, _packed(batch.slice(edges[b], edges[b + 1] - edges[b]))) for b in range(buckets) if edges[b + 1] > edges[b]]
+        where, view = where[order], memoryview(bodies)
+        edges = np.flatnonzero(np.append(True, where[1:] != where[:-1])).tolist() + [len(order)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            k = order[a:b]
+            body = b"".join(view[x:y] for x, y in zip(cuts[k].tolist(), cuts[k + 1].tolist(), strict=True))
+            rows.append((shard, span, int(where[a]), _squeezed(ids[doc[k]], doc[k], first[k], cuts[k + 1] - cuts[k], body)))
     return pa.Table.from_batches([_rows(rows)])
 
 
 def _merged(table: pa.Table) -> pa.Table:
     """Of one bucket: to each shard the runs of its strings that an earlier document of another has."""
     shards, width = np.array(_column(table, "shard")), _column(table, "kind")[0]
-    own = [_unpacked(b) for b in _column(table, "body")]
-    shard = np.repeat(shards, [len(t) for t in own])
-    doc, row, pos = (np.concatenate([t.column(c).to_numpy() for t in own]) for c, _ in _ORDER)
-    parts = pa.chunked_array([c for t in own for c in t.column("bytes").chunks]).combine_chunks()
+    own = [_opened(b) for b in _column(table, "body")]
+    shard = np.repeat(shards, [len(x[0]) for x in own])
+    doc, row, pos, length = (np.concatenate([x[k] for x in own]) for k in range(4))
+    whole = b"".join(x[4] for x in own)
     del own
+    begin = np.cumsum(length) - length
     order = np.lexsort((pos, row, shard, doc))
-    shard, pos = shard[order], pos[order]
-    parts = parts.take(pa.array(order))
-    _, offsets, values = parts.buffers()
-    cuts = np.frombuffer(offsets, np.int64)[parts.offset : parts.offset + len(parts) + 1]
-    data, cuts = np.frombuffer(values, np.uint8)[cuts[0] : cuts[-1]], cuts - cuts[0]
+    shard, pos, begin, length = shard[order], pos[order], begin[order], length[order]
+    view = memoryview(whole)
+    data = np.frombuffer(b"".join(view[a : a + n] for a, n in zip(begin.tolist(), length.tolist(), strict=True)), np.uint8)
+    cuts = np.concatenate([[0], np.cumsum(length)])
+    del whole, view
     # every string of the bucket, by document and place
     count = np.diff(cuts) - width + 1 if width > 16 else np.ones(len(pos), np.int64)
     run = np.repeat(np.arange(len(pos)), count)
