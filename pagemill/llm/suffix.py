@@ -37,6 +37,8 @@ ANCHOR_BUCKET_BYTES = 8 << 20
 STRING_BUCKET_BYTES = 8 << 20
 _STRINGS_OF_ANCHOR = 160
 _SCAN = 1 << 20
+#: Of the compression of texts and strings that are shuffled.
+LEVEL = 7
 
 _TEXTS, _LATER, _ANCHORS = 0, 1, 2
 
@@ -188,7 +190,7 @@ def later_places(data: np.ndarray, offs: np.ndarray, starts: np.ndarray, stops:
 
 def _packed(table: pa.Table | pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))) as w:
         w.write(table)
     return sink.getvalue().to_pybytes()
 
@@ -204,7 +206,7 @@ def _steps(x: np.ndarray) -> np.ndarray:
 def _squeezed(doc: np.ndarray, row: np.ndarray, pos: np.ndarray, length: np.ndarray, body: bytes) -> bytes:
     """Strings with their documents and places, in one compressed frame: most are too few for a table of their own."""
     cols = (_steps(doc), _steps(row), _steps(pos), length)
-    return zstandard.ZstdCompressor(level=3).compress(b"".join([np.int64(len(doc)).tobytes(), *(c.astype(np.int64).tobytes() for c in cols), body]))
+    return zstandard.ZstdCompressor(level=LEVEL).compress(b"".join([np.int64(len(doc)).tobytes(), *(c.astype(np.int64).tobytes() for c in cols), body]))
 
 
 def _opened(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
