@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import markdown as M
 from pagemill.functions import text as T
-from pagemill.operators import audit, boxes, fidelity, layout, review, rows, tables
+from pagemill.operators import audit, boxes, fidelity, layout, pages, review, rows, tables
 
 D, S = T.DEGREE, T.SQUARE
 
@@ -149,3 +149,10 @@ def test_status(spark):
 def test_empty_page_input(spark):
     empty = spark.createDataFrame([], "page int, x0 double, y0 double, x1 double, y1 double")
     assert boxes.ruled_boxes(empty, "page").count() == 0 and np.isfinite(1)
+
+
+@pytest.mark.parametrize("fonts", [("SymbolMT", "AdobePiStd"), ("AdobePiStd", "SymbolMT")])
+def test_fonts_of_spans_of_one_number(spark, fonts):
+    words = spark.createDataFrame([(1, 1, 2.0, 8.0, 0.0)], "page long, n int, x0 double, x1 double, y0 double")
+    spans = spark.createDataFrame([(1, 7, 0.0, 20.0, 0.0, 8.0, f) for f in fonts] + [(1, 8, 0.0, 20.0, 0.0, 8.0, "Times")], "page long, span long, x0 double, x1 double, y0 double, y1 double, font string").coalesce(1)
+    assert [r.font for r in pages.word_fonts(words, spans, "page", ["n"], "span").collect()] == ["SymbolMT"]
