@@ -78,8 +78,8 @@ def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     Texts without a word stay as they are, and so does everything where no benchmark item has a word.
     """
     apart, back = _apart(docs)
-    found = decontaminate.contamination(spark, apart, table(spark, sf_dir, "benchmark")).where("NOT contaminated")
-    return back(decontaminate.without_hits(found), F.col("n_hit") > 0)
+    found = decontaminate.contamination(spark, apart, table(spark, sf_dir, "benchmark"), cut=True).where("NOT contaminated")
+    return back(found, F.col("n_hit") > 0)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -10,9 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField
 
-from .arrow import ALNUM, Words, buffers, chain, mix, ragged, same_words, text_chunks, with_columns, word_hashes, word_table, words
+from .arrow import ALNUM, Words, buffers, chain, mix, ragged, same_words, text_chunks, with_columns, word_hashes, word_table
 from .staging import Staging
 
 WINDOW = 13
@@ -168,8 +167,22 @@ def occurrences(ix: Index, own: Words) -> tuple[np.ndarray, np.ndarray]:
 _SPANS = [StructField("n_words", LongType()), StructField("hit_spans", ArrayType(LongType())), StructField("hit_items", ArrayType(LongType()))]
 
 
-def _with_hits(docs: DataFrame, spark: SparkSession, ix: Index, text: str, more: bool) -> DataFrame:
-    """``docs`` with the hit words as flat [first, last + 1, ...] ranges and the items found, added to those of earlier blocks if ``more``."""
+def _without(batch: pa.RecordBatch, text: str, data: np.ndarray, offs: np.ndarray, own: Words, spans: list[np.ndarray]) -> pa.Array:
+    """The chunk's texts with every range of hit words cut out."""
+    if not any(map(len, spans)):
+        return batch.column(text)
+    texts = batch.column(text).to_pylist()
+    for d, s in enumerate(spans):
+        if len(s):
+            keep = np.ones(offs[d + 1] - offs[d], bool)
+            for a, b in s.reshape(-1, 2):
+                keep[own.start[own.first[d] + a] - offs[d] : own.end[own.first[d] + b - 1] - offs[d]] = False
+            texts[d] = data[offs[d] : offs[d + 1]][keep].tobytes().decode("utf-8")
+    return pa.array(texts, batch.column(text).type)
+
+
+def _with_hits(docs: DataFrame, spark: SparkSession, ix: Index, text: str, more: bool, cut: bool) -> DataFrame:
+    """``docs`` with the hit words as flat [first, last + 1, ...] ranges and the items found, added to those of earlier blocks if ``more``, and cut out if ``cut``."""
     sent = spark.sparkContext.broadcast(ix)
     names = ("earlier_spans", "earlier_items")
     if more:
@@ -204,15 +217,16 @@ def _with_hits(docs: DataFrame, spark: SparkSession, ix: Index, text: str, more:
                     found = np.unique(np.concatenate([found, *own]))
                 spans.append(s)
                 items.append(found)
-            return [pa.array(np.diff(first)), ragged(spans, pa.int64()), ragged(items, pa.int64())]
+            own_texts = [_without(batch, text, data, offs, own_words, spans)] if cut else []
+            return [pa.array(np.diff(first)), ragged(spans, pa.int64()), ragged(items, pa.int64()), *own_texts]
 
         return call
 
-    out = with_columns(docs, text, _SPANS, make)
+    out = with_columns(docs, text, _SPANS + [StructField(text, StringType())] * cut, make)
     return out.drop(*names) if more else out
 
 
-def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES, cut: bool = False) -> DataFrame:
     """``docs`` with ``n_words, hit_spans, hit_items, n_hit, n_items, items_sha256, contaminated``.
 
     Words are runs of ASCII letters (folded) and digits and of everything beyond ASCII. A window
@@ -230,6 +244,10 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     for each block the documents are read twice and never shuffled: once to count the block's
     shingles (rarity), once to look up each window's rarest shingle, hold its place against the
     document's ends and compare the words, byte by byte. Further blocks work on a written table.
+
+    With ``cut`` every range of hit words is cut out of the text, from the first byte of its first
+    word to the last of its last word; what stands around it stays, and so do texts without hits.
+    That is done where the hits are found: a task needs one Python worker for all of it.
     """
     stage = Staging(spark, "decontaminate")
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL")
@@ -245,42 +263,15 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
             seen = docs.select(F.col(text).alias("text")).mapInArrow(lambda it, w=wanted: _counted(it, w.value), "k long, n long")
             cells = seen.groupBy("k").agg(F.sum("n").alias("n")).toArrow()
             counts[cells["k"].to_numpy()] = cells["n"].to_numpy()
-        out = _with_hits(out, spark, block.index(counts), text, k > 0)
+        out = _with_hits(out, spark, block.index(counts), text, k > 0, cut and k + 1 == blocks)
         if k + 1 < blocks:
             out = stage.write(out, f"block{k}")
 
-    def make():  # noqa: ANN202
-        def call(batch: pa.RecordBatch, data: np.ndarray, offs: np.ndarray) -> list[pa.Array]:
-            items = batch.column("hit_items").to_pylist()
-            words = batch.column("n_words").to_pylist()
-            hits = [int(np.sum(s[1::2]) - np.sum(s[::2])) if s else 0 for s in batch.column("hit_spans").to_pylist()]
-            sha = [hashlib.sha256(",".join(sorted(map(str, x))).encode()).hexdigest() for x in items]
-            return [pa.array(hits, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array(sha, pa.string()), pa.array([h > 0 and 20 * h >= n for h, n in zip(hits, words, strict=True)], pa.bool_())]
-
-        return call
-
-    return with_columns(out, text, [StructField("n_hit", LongType()), StructField("n_items", LongType()), StructField("items_sha256", StringType()), StructField("contaminated", BooleanType())], make)
-
-
-def without_hits(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs``, as ``contamination`` gives them, with every range of hit words cut out of the text.
-
-    A cut goes from the first byte of a range's first word to the last of its last word; what
-    stands around it stays. Texts without hits, null and empty texts stay as they are.
-    """
-
-    def make():  # noqa: ANN202
-        def call(batch: pa.RecordBatch, data: np.ndarray, offs: np.ndarray) -> list[pa.Array]:
-            starts, ends, first = words(data, offs, ALNUM)
-            texts = batch.column(text).to_pylist()
-            for d, spans in enumerate(batch.column("hit_spans").to_pylist()):
-                if spans:
-                    keep = np.ones(offs[d + 1] - offs[d], bool)
-                    for a, b in zip(spans[::2], spans[1::2], strict=True):
-                        keep[starts[first[d] + a] - offs[d] : ends[first[d] + b - 1] - offs[d]] = False
-                    texts[d] = data[offs[d] : offs[d + 1]][keep].tobytes().decode("utf-8")
-            return [pa.array(texts, pa.string())]
-
-        return call
-
-    return with_columns(docs, text, [StructField(text, StringType())], make).select(docs.columns)
+    signed = F.transform("hit_spans", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x))
+    ids = F.sort_array(F.transform("hit_items", lambda x: x.cast("string")))
+    new = {
+        "n_hit": F.aggregate(signed, F.lit(0).cast("long"), lambda a, x: a + x),
+        "n_items": F.size("hit_items").cast("long"),
+        "items_sha256": F.sha2(F.array_join(ids, ","), 256),
+    }
+    return out.drop(*new, "contaminated").withColumns(new).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))

@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from pagemill.llm import decontaminate, language, licenses, packing, sharding, suffix, token_counts
 
 
@@ -71,3 +72,19 @@ def test_capacity_is_the_least_by_brute_force(spark):
         sizes[r.shard] += r.size
     assert max(sizes.values()) == best[shards][slots]
     assert len({(r.text_crc32, r.shard) for r in got}) == len({r.text_crc32 for r in got})
+
+
+def test_decontamination_needs_one_worker_a_task(spark, tmp_path):
+    text = " ".join(f"w{k}" for k in range(300))
+    rows = [(1, f"é, {text}! W7: w8.", "en"), (2, None, "en"), (3, "", "en"), (4, "w7 w8", "en"), (5, f"{text} One", "en")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "w7, w8"), (2, "one")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs, bench = (spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("documents", "benchmark"))
+    out = corpus_pipeline.clean_of_benchmarks(spark, docs, str(tmp_path))
+    less = text.replace(" w7 w8 ", "  ")
+    want = {(1, f"é, {less}! ."), (2, None), (3, ""), (5, f"{less} ")}
+    assert {(r.doc_id, r.text) for r in out.collect()} == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    blocks = decontaminate.contamination(spark, docs, bench, block_bytes=1, cut=True)
+    assert {(r.doc_id, r.text) for r in blocks.collect() if not r.contaminated} == want
