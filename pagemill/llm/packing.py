@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -22,7 +22,8 @@ from .staging import Staging
 CAPACITY = 2048
 #: Pieces that are packed together in one task, about; more pieces make more groups alike.
 GROUP_PIECES = 50_000
-#: Tokens of so many distinct words are remembered in a worker, then forgotten.
+#: Tokens of so many distinct words are a generation in a worker's memory; what neither the latest nor the one before it has
+#: is forgotten. Rare words fill a generation within a chunk or two of texts, so frequent ones must outlive it.
 CACHE_WORDS = 60_000
 
 #: The vocabulary's own pattern of words.
@@ -33,6 +34,27 @@ WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LETTER_OF_BYTE = {b: 256 + k for k, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))}
 
 
+class _Remembered(dict):
+    """What ``make`` gives for a string: kept in this generation, taken over from the one before it."""
+
+    def __init__(self, make: Callable[[str], bytes], before: dict[str, bytes]) -> None:
+        self.make, self.before = make, before
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.before.get(key)
+        if ids is None:
+            ids = self.make(key)
+        self[key] = ids
+        return ids
+
+    def aged(self) -> _Remembered:
+        """This generation, or the next one if it is full."""
+        if len(self) <= CACHE_WORDS:
+            return self
+        self.before = {}
+        return _Remembered(self.make, self)
+
+
 class Encoder:
     """Ids of whole texts, as bytes of little-endian 32-bit numbers, equal to the library's.
 
@@ -51,35 +73,23 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(vocabulary)
         self._merge = self._tokenizer.model.tokenize
-        self._words: dict[str, bytes] = {}
-        self._chunks: dict[str, bytes] = {}
+        self._words = _Remembered(self._word_ids, {})
+        self._chunks = _Remembered(self._chunk_ids, {})
 
     def _whole(self, text: str) -> bytes:
         return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _word_ids(self, word: str) -> bytes:
-        ids = self._words.get(word)
-        if ids is None:
-            letters = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTER_OF_BYTE)
-            ids = self._words[word] = array("I", [t.id for t in self._merge(letters)]).tobytes()
-        return ids
+        letters = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTER_OF_BYTE)
+        return array("I", [t.id for t in self._merge(letters)]).tobytes()
 
-    def _learn(self, chunks: set[str]) -> None:
-        find, word_ids, known = self._word.findall, self._word_ids, self._chunks
-        for c in chunks:
-            known[c] = word_ids(c) if c.isalpha() else b"".join(map(word_ids, find(c)))
+    def _chunk_ids(self, chunk: str) -> bytes:
+        return self._words[chunk] if chunk.isalpha() else b"".join(map(self._words.__getitem__, self._word.findall(chunk)))
 
     def many(self, texts: list[str]) -> list[bytes]:
-        split = [None if self._odd.search(t) else t.lower().split() for t in texts]
-        if len(self._chunks) > CACHE_WORDS or len(self._words) > CACHE_WORDS:
-            self._chunks.clear()
-            self._words.clear()
-        known = self._chunks
-        missing = {c for chunks in split if chunks for c in chunks if c not in known}
-        if missing:
-            self._learn(missing)
-        get = known.__getitem__
-        return [self._whole(t) if chunks is None else b"".join(map(get, chunks)) for t, chunks in zip(texts, split, strict=True)]
+        self._words, self._chunks = self._words.aged(), self._chunks.aged()
+        get, odd = self._chunks.__getitem__, self._odd.search
+        return [self._whole(t) if odd(t) else b"".join(map(get, t.lower().split())) for t in texts]
 
 
 @lru_cache(1)

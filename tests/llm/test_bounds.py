@@ -88,3 +88,18 @@ def test_decontamination_needs_one_worker_a_task(spark, tmp_path):
     assert plan.count("MapInArrow") == 1
     blocks = decontaminate.contamination(spark, docs, bench, block_bytes=1, cut=True)
     assert {(r.doc_id, r.text) for r in blocks.collect() if not r.contaminated} == want
+
+
+def test_frequent_words_outlive_rare_ones(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, merged = packing.Encoder(path), []
+    merge = encoder._merge
+    encoder._merge = lambda letters: merged.append(letters) or merge(letters)
+    often = [f"often{'abcdefghij'[k]}, it's" for k in range(10)]
+    rare = random.Random(3)
+    for _ in range(30):
+        texts = [*often, *("".join(rare.choices("xyzéq", k=12)) for _ in range(40))]
+        assert encoder.many(texts) == [encoder._whole(t) for t in texts]
+    assert merged.count("oftena") == merged.count("it") == 1
+    assert max(len(encoder._words), len(encoder._chunks)) < 30 * 40 / 4
