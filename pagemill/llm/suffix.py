@@ -358,6 +358,18 @@ def _sent(table: pa.Table, doc_id: str, text: str, width: int, anchor: int, buck
     return pa.Table.from_batches([_rows(rows)])
 
 
+def _first_places(x: np.ndarray) -> np.ndarray:
+    """Of each entry the place of the first one that equals it."""
+    order = np.argsort(x)
+    ranked = x[order]
+    head = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])[: len(x)])
+    del ranked
+    first = np.empty(len(x), np.int64)
+    if len(x):
+        first[order] = np.repeat(np.minimum.reduceat(order, head), np.diff(np.append(head, len(x))))
+    return first
+
+
 def _merged(table: pa.Table) -> pa.Table:
     """Of one bucket: to each shard the runs of its strings that an earlier document of another has."""
     shards, width = np.array(_column(table, "shard")), _column(table, "kind")[0]
@@ -382,8 +394,7 @@ def _merged(table: pa.Table) -> pa.Table:
     for lo, hi in row_chunks(cuts, _SCAN):
         a, b = np.searchsorted(at, (cuts[lo], cuts[hi]))
         hashes[a:b] = Hasher(data[cuts[lo] : cuts[hi]]).windows(width)[at[a:b] - cuts[lo]]
-    distinct, first = np.unique(hashes, return_index=True)
-    first = first[np.searchsorted(distinct, hashes)]
+    first = _first_places(hashes)
     repeated = np.flatnonzero(first != np.arange(len(at)))
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     word = np.ndarray((len(data),), "<u8", padded.data, strides=(1,))

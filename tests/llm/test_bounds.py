@@ -103,3 +103,9 @@ def test_frequent_words_outlive_rare_ones(monkeypatch):
         assert encoder.many(texts) == [encoder._whole(t) for t in texts]
     assert merged.count("oftena") == merged.count("it") == 1
     assert max(len(encoder._words), len(encoder._chunks)) < 30 * 40 / 4
+
+
+def test_first_places_of_equal_hashes():
+    for x in (np.zeros(0, np.uint64), np.full(5, 2**64 - 1, np.uint64), np.random.default_rng(4).integers(0, 400, 1000).astype(np.uint64)):
+        seen = {}
+        assert suffix._first_places(x).tolist() == [seen.setdefault(h, k) for k, h in enumerate(x.tolist())]
