@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, embeddings, language, licenses, minhash, packing, sharding, suffix, token_counts, toxicity
+from . import decontaminate, embeddings, infill, language, licenses, minhash, packing, sharding, suffix, token_counts, toxicity
 from .staging import table
 
 
@@ -60,6 +61,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = infill.infill(table(spark, sf_dir, "documents"))
+    digest = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(infill.restored(F.col("output"), F.col("form")), 256)}
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *[d.alias(c) for c, d in digest.items()])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -73,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_decontamination,
         op10_sharding,
+        op11_fill_in_middle,
     )
 }
 _COMPONENTS = """reach(id, root) AS (SELECT id, id FROM nodes UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.id),
@@ -111,5 +119,13 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' O
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
+OP11 = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h, regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS w FROM documents),
+r AS (SELECT *, len(w)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM r),
+c AS (SELECT *, array_to_string(w[1:lo], '') AS p, array_to_string(w[lo + 1:hi], '') AS m, array_to_string(w[hi + 1:], '') AS s FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM c"""
+
 #: The others learn, tokenise, fingerprint bytes or match with errors, which SQL cannot express.
-ORACLES: dict[str, str] = {"op1_embedding_near_dedup": OP1, "op2_minhash_near_dedup": OP2, "op9_decontamination": OP9}
+ORACLES: dict[str, str] = {"op1_embedding_near_dedup": OP1, "op2_minhash_near_dedup": OP2, "op9_decontamination": OP9, "op11_fill_in_middle": OP11}
