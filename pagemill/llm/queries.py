@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embeddings, infill, language, licenses, minhash, packing, sharding, suffix, token_counts, toxicity
+from . import conversations, decontaminate, embeddings, infill, language, licenses, minhash, mixing, packing, sharding, suffix, token_counts, toxicity
 from .staging import table
 
 
@@ -67,6 +67,30 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *[d.alias(c) for c, d in digest.items()])
 
 
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(spark, table(spark, sf_dir, "documents")).taken().select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _damaged(turns: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, left without end marks, repeated or given the user's role by the CRC of conversation and turn."""
+    space = F.lit(" ")
+    k = F.crc32(F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))) % 20
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    return turns.select(
+        "conv_id",
+        F.when(k != 0, F.col("turn")).alias("turn"),
+        F.when(k == 0, "").when(k == 4, "user").otherwise(role).alias("role"),
+        F.when(k.isin(0, 1), "").when(k == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.when(k == 0, 0).when(k == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    done = conversations.repair(spark, _damaged(turns), copies="copies").conversations
+    return done.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -81,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_decontamination,
         op10_sharding,
         op11_fill_in_middle,
+        op12_mixing,
+        op13_conversation_repair,
     )
 }
 _COMPONENTS = """reach(id, root) AS (SELECT id, id FROM nodes UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.id),
@@ -127,5 +153,76 @@ c AS (SELECT *, array_to_string(w[1:lo], '') AS p, array_to_string(w[lo + 1:hi],
 SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
   sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM c"""
 
+OP12 = """WITH RECURSIVE d AS (SELECT doc_id, coalesce('s' || source, 't') AS q, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+  sha256('42:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')))[1:16] AS draw FROM documents),
+s AS (SELECT q, sum(size)::BIGINT AS source_size, ([1, 2, 3])[(row_number() OVER (ORDER BY encode(q)) - 1) % 3 + 1]::BIGINT AS weight FROM d GROUP BY q),
+total AS (SELECT sum(source_size)::BIGINT AS budget, sum(weight)::BIGINT AS weights FROM s),
+levels AS (SELECT 0 AS k, budget / weights AS level, 0::BIGINT AS limited FROM total
+  UNION ALL SELECT k + 1, (budget - limits) / free, n FROM (SELECT any_value(k) AS k, any_value(l.limited) AS limited, any_value(budget) AS budget, sum(CASE WHEN weight * level > 3 * source_size THEN 3 * source_size ELSE 0 END)::BIGINT AS limits,
+    sum(CASE WHEN weight * level > 3 * source_size THEN 0 ELSE weight END)::BIGINT AS free, count(*) FILTER (weight * level > 3 * source_size) AS n FROM levels l, s, total) WHERE n > limited),
+t AS (SELECT q, source_size, weight, least(3.0::DOUBLE * source_size, weight * (SELECT arg_max(level, k) FROM levels)) AS target FROM s),
+p AS (SELECT d.*, source_size, weight, target, least(3 * source_size, floor(target)::BIGINT) AS cut, sum(size) OVER (PARTITION BY q ORDER BY draw, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS pre,
+  row_number() OVER (PARTITION BY q ORDER BY draw, doc_id, size) AS place FROM d JOIN t USING (q)),
+e AS (SELECT q, place, draw, doc_id, turn, weight, turn * source_size + pre AS lo, least(turn * source_size + pre + size, cut) AS hi FROM p, range(3) r(turn) WHERE size > 0 AND turn * source_size + pre < cut),
+o AS (SELECT q, place, hi - lo AS words, sum(hi - lo) OVER (ORDER BY hi / weight, draw, doc_id, turn ROWS UNBOUNDED PRECEDING) - (hi - lo) AS pre FROM e),
+k AS (SELECT q, place, sum(greatest(least(words, budget - pre), 0))::BIGINT AS taken FROM o, total GROUP BY q, place)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM p LEFT JOIN k USING (q, place)"""
+
+
+
+def _op13() -> str:
+    def go(frm: str, cost: str, letter: str, line: str = "''") -> str:
+        return f"CASE WHEN {frm} IS NOT NULL THEN {{'c': {frm}.c + {cost}, 'a': {frm}.a || '{letter}', 'r': {frm}.r || {line}}} END"
+
+    def least(*options: str) -> str:
+        return f"list_min(list_filter([{', '.join(options)}], lambda x: x IS NOT NULL))"
+
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    inserted = [
+        "s0",
+        "s1",
+        least("s2", *(go(f"s{i}", "2", "I", user) for i in (0, 1, 3))),
+        least("s3", go("s2", "2", "I", assistant), *(go(f"s{i}", "4", "II", f"{user} || {assistant}") for i in (0, 1))),
+    ]
+    own = "chr(10) || role || ':' || text"
+
+    def stays(frm: str, initial: str, new: str | None) -> list[str]:
+        keep = f"CASE WHEN fault < 2 AND role[1] = '{initial}' THEN {go(frm, 'fault', 'K', own)} END"
+        return [keep, *([f"CASE WHEN fault < 2 THEN {go(frm, '2 + fault', 'R', f'{new} || text')} END"] if new else [])]
+
+    gone = [go(f"c{i}", "3", "D") for i in range(4)]
+    after = [
+        gone[0],
+        least(gone[1], *stays("c0", "s", None)),
+        least(gone[2], *(x for i in (0, 1, 3) for x in stays(f"c{i}", "u", user))),
+        least(gone[3], *stays("c2", "a", assistant)),
+    ]
+    closed = ", ".join(f"{e} AS c{i}" for i, e in enumerate(inserted))
+    steps = ", ".join(f"{e} AS s{i}" for i, e in enumerate(after))
+    return f"""WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS s FROM conversations),
+crc AS (SELECT conv_id, turn, role, text, xor(4294967295::BIGINT, list_reduce(list_transform(range(1, length(s) + 1), lambda i: ascii(s[i])::BIGINT),
+  lambda c, b: list_reduce([1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[], lambda v, i: xor(v >> 1, 3988292384 * (v & 1)), xor(c, b)), 4294967295::BIGINT)) % 20 AS k FROM k),
+d AS (SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE k WHEN 3 THEN 2 ELSE 1 END)) FROM crc WHERE k <> 0),
+o AS (SELECT *, row_number() OVER w AS p, lag(role[1]) OVER w AS was FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 3 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 2 WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 1 ELSE 0 END AS fault FROM o),
+convs AS (SELECT DISTINCT conv_id FROM conversations),
+scan AS (SELECT conv_id, 0::BIGINT AS p, {{'c': 0::BIGINT, 'a': '', 'r': ''}} AS s0, NULL::STRUCT(c BIGINT, a VARCHAR, r VARCHAR) AS s1, NULL::STRUCT(c BIGINT, a VARCHAR, r VARCHAR) AS s2, NULL::STRUCT(c BIGINT, a VARCHAR, r VARCHAR) AS s3 FROM convs
+  UNION ALL SELECT conv_id, p, {steps} FROM (SELECT f.conv_id, f.p, role, text, fault, {closed} FROM scan JOIN f ON f.conv_id IS NOT DISTINCT FROM scan.conv_id AND f.p = scan.p + 1)),
+ends AS (SELECT conv_id, {least('c0', 'c3')} AS e FROM (SELECT conv_id, {closed} FROM scan QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY p DESC) = 1)),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 3) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 1) AS truncated,
+  count(*) FILTER (p > 1 AND was || role[1] NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT ends.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, e.c AS cost, e.a AS audit, sha256(e.r[2:]) AS repaired_sha256
+FROM ends LEFT JOIN counts ON ends.conv_id IS NOT DISTINCT FROM counts.conv_id"""
+
+
+OP13 = _op13()
+
 #: The others learn, tokenise, fingerprint bytes or match with errors, which SQL cannot express.
-ORACLES: dict[str, str] = {"op1_embedding_near_dedup": OP1, "op2_minhash_near_dedup": OP2, "op9_decontamination": OP9, "op11_fill_in_middle": OP11}
+ORACLES: dict[str, str] = {
+    "op1_embedding_near_dedup": OP1,
+    "op2_minhash_near_dedup": OP2,
+    "op9_decontamination": OP9,
+    "op11_fill_in_middle": OP11,
+    "op12_mixing": OP12,
+    "op13_conversation_repair": OP13,
+}
