@@ -421,7 +421,8 @@ def repair(spark: SparkSession, conversations: DataFrame, copies: str | None = N
     count = F.lit(1) if copies is None else F.col(copies)
     space = F.lit(" ")
     rows = conversations.select(F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.coalesce(F.col(role), space).alias("role"), F.coalesce(F.col(text), space).alias("text"), count.cast("long").alias("copies"))
-    groups = rows.groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies"))
+    # written, as both what follows and the sampling of ranges read it again
+    groups = stage.write(rows.groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies")), "groups")
 
     # texts of one role at several turns are few: only they meet their rows
     seen, digest = F.struct(F.col("turn").isNotNull().alias("known"), F.col("turn").alias("turn")), F.unhex(F.sha2("text", 256))
@@ -434,6 +435,8 @@ def repair(spark: SparkSession, conversations: DataFrame, copies: str | None = N
     ordered = marked.repartitionByRange(*place, F.substring("text", 1, PREFIX).asc()).sortWithinPartitions(*place, F.col("text").asc())
     pieces = stage.write(ordered.mapInArrow(lambda it: releasing(_first_pass(it, keep_texts)), _PIECES), "pieces")
 
+    stage.drop("groups")
+
     whole, parts = pieces.where("closed"), pieces.where("NOT closed")
     width, last = parts.agg(F.coalesce(F.max("seq"), F.lit(0)), F.coalesce(F.max("part"), F.lit(0))).first()
     width += 1
