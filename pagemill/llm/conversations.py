@@ -427,7 +427,8 @@ def repair(spark: SparkSession, conversations: DataFrame, copies: str | None = N
     # texts of one role at several turns are few: only they meet their rows
     seen, digest = F.struct(F.col("turn").isNotNull().alias("known"), F.col("turn").alias("turn")), F.unhex(F.sha2("text", 256))
     again = groups.where((F.col("copies") > 0) & ~is_blank(F.col("text"))).groupBy("conv_id", "role", digest.alias("digest")).agg(F.min(seen).alias("earliest"), F.count("*").alias("n")).where("n > 1")
-    again = again.select(F.col("conv_id").alias("_conv"), F.col("role").alias("_role"), "digest", "earliest")
+    # written, so that a small table is known to be one before texts are shuffled to meet it
+    again = stage.write(again.select(F.col("conv_id").alias("_conv"), F.col("role").alias("_role"), "digest", "earliest"), "again")
     met = groups.join(again, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("role") == F.col("_role")) & (digest == F.col("digest")), "left")
     marked = met.select("conv_id", "turn", "role", "text", "copies", _code(F.col("role"), F.col("text"), F.coalesce(seen > F.col("earliest"), F.lit(False))).alias("code"))
 
@@ -435,7 +436,7 @@ def repair(spark: SparkSession, conversations: DataFrame, copies: str | None = N
     ordered = marked.repartitionByRange(*place, F.substring("text", 1, PREFIX).asc()).sortWithinPartitions(*place, F.col("text").asc())
     pieces = stage.write(ordered.mapInArrow(lambda it: releasing(_first_pass(it, keep_texts)), _PIECES), "pieces")
 
-    stage.drop("groups")
+    stage.drop("groups", "again")
 
     whole, parts = pieces.where("closed"), pieces.where("NOT closed")
     width, last = parts.agg(F.coalesce(F.max("seq"), F.lit(0)), F.coalesce(F.max("part"), F.lit(0))).first()
