@@ -359,14 +359,21 @@ def _sent(table: pa.Table, doc_id: str, text: str, width: int, anchor: int, buck
 
 
 def _first_places(x: np.ndarray) -> np.ndarray:
-    """Of each entry the place of the first one that equals it."""
+    """Of each entry the place of the first one that equals it: by binary search in the sorted table of those that recur."""
+    first = np.arange(len(x))
     order = np.argsort(x)
     ranked = x[order]
     head = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])[: len(x)])
+    recurs = np.diff(np.append(head, len(x))) > 1
+    if not recurs.any():
+        return first
+    table, least = ranked[head[recurs]], np.minimum.reduceat(order, head)[recurs]
     del ranked
-    first = np.empty(len(x), np.int64)
-    if len(x):
-        first[order] = np.repeat(np.minimum.reduceat(order, head), np.diff(np.append(head, len(x))))
+    for lo in range(0, len(x), _SCAN):
+        part = x[lo : lo + _SCAN]
+        k = np.minimum(np.searchsorted(table, part), len(table) - 1)
+        hit = np.flatnonzero(table[k] == part)
+        first[lo + hit] = least[k[hit]]
     return first
 
 
