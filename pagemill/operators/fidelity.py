@@ -1,87 +1,233 @@
-"""Is a proposed table the same table? Cell by cell comparison and verdicts."""
+"""Is a proposed table the same table? Cell by cell comparison, records of changes, and verdicts."""
 
 from __future__ import annotations
 
+import re
+from collections import Counter, defaultdict, deque
+from collections.abc import Iterable, Iterator, Sequence
+from difflib import SequenceMatcher
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from pagemill.functions import markdown as M
-from pagemill.functions import text as T
+
+from . import proposals
 
 REVIEWED = ("reorder", "mid_word_break")
 FATAL = ("changed_number", "hallucinated_addition", "deletion", "content_substitution")
+#: Kinds whose reported evidence and confidence count.
+REPORTED = ("spacing", "word_restore")
+#: Below it a reported repair needs a human.
+SURE = 0.5
+
+_BREAK = re.compile(r"</?[Bb][Rr]\s*/?>")
+_GAP = re.compile(rf"{_BREAK.pattern}|\s+")
+_NUMBER = re.compile(r"\d[\d,]*(?:\.\d+)?")
+#: What shows a cell and is not its content: separators of lists, bullets, dashes as bullets.
+_SHOWN = tuple(map(re.compile, (_BREAK.pattern, r"[;,]\s+", r"(?:^|\s)[•·*+]\s+", r"(?<![\d.])(?:^|\s)[-–—]\s+(?!\d)")))
+
 
+def _tokens(cell: str) -> list[str]:
+    for pattern in _SHOWN:
+        cell = pattern.sub(" ", cell)
+    return cell.split()
 
-def bag_minus(a: Column, b: Column) -> Column:
-    """What ``a`` has more often than ``b``: distinct elements by their counts."""
-    return T.let(a, lambda p: T.let(b, lambda q: F.filter(F.array_distinct(p), lambda x: F.size(F.filter(p, lambda y: y == x)) > F.size(F.filter(q, lambda y: y == x)))))
 
+def _numbers(cell: str) -> list[str]:
+    return [n.replace(",", "") for n in _NUMBER.findall(cell)]
 
-def _same_bag(a: Column, b: Column) -> Column:
-    return F.array_sort(a) == F.array_sort(b)
 
+def _places(cell: str, at: re.Pattern[str]) -> tuple[set[int], int]:
+    """Characters that stand before each match, white space and breaks apart, and all of them."""
+    out, n = set(), 0
+    parts = at.split(cell)
+    for part in parts[:-1]:
+        n += len("".join(part.split()))
+        out.add(n)
+    return out, n + len("".join(parts[-1].split()))
 
-def _letters(x: Column) -> Column:
-    """The character stream without numbers."""
-    bare = T.replaced(T.display_text(x), r"\p{Nd}[\p{Nd},]*(?:\.\p{Nd}+)?", "")
-    return T.characters(T.replaced(bare, r"(?U)\s+", ""))
 
+def _breaks_a_word(before: str, after: str) -> bool:
+    apart, n = _places(before, _GAP)
+    breaks, m = _places(after, _BREAK)
+    return n == m and any(0 < k < n and k not in apart for k in breaks)
 
-def _break_in_word(before: Column, after: Column) -> Column:
-    """Whether a break stands where the source has two characters next to each other; False where separators went, too."""
-    bare = lambda x: T.replaced(x, r"(?U)</?[Bb][Rr]\s*/?>|\s+", "")
-    spaced = lambda x: T.replaced(T.replaced(x, r"</?[Bb][Rr]\s*/?>", "\x01"), r"(?U)\s+", "\x02")
-    # the source with its gaps kept, the proposal with its breaks kept; a break counts if the source has no gap there
-    source = T.characters(T.replaced(T.replaced(spaced(before), "[\x01\x02]+", "\x02"), "^\x02|\x02$", ""))
-    target = T.characters(T.replaced(T.replaced(T.replaced(spaced(after), "\x02", ""), "\x01+", "\x01"), "^\x01|\x01$", ""))
-    gaps = F.aggregate(source, F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("at")), lambda s, x: F.when(x == "\x02", F.struct(s["n"].alias("n"), F.array_append(s["at"], s["n"]).alias("at"))).otherwise(F.struct((s["n"] + 1).alias("n"), s["at"].alias("at"))), lambda s: s["at"])
-    breaks = F.aggregate(target, F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("at")), lambda s, x: F.when(x == "\x01", F.struct(s["n"].alias("n"), F.array_append(s["at"], s["n"]).alias("at"))).otherwise(F.struct((s["n"] + 1).alias("n"), s["at"].alias("at"))), lambda s: s["at"])
-    return (F.length(bare(before)) == F.length(bare(after))) & (F.size(F.array_except(breaks, gaps)) > 0)
 
+def _made_of_several(before: list[str], after: list[str]) -> list[str]:
+    """Words of ``after`` that stand for two or more of ``before``."""
+    own, new = [t.lower() for t in before], [t.lower() for t in after]
+    changes = SequenceMatcher(None, own, new, autojunk=False).get_opcodes()
+    return [new[k] for kind, i, j, k, m in changes if kind != "equal" and j - i >= 2 and m - k == 1]
 
-def cell_kind(before: Column, after: Column, evidence: Column) -> Column:
-    """How a cell changed; null if it did not. ``evidence``: numbers printed on its pages, null if unknown."""
-    b, a = F.trim(before), F.trim(after)
-    tb, ta = F.split(T.display_text(b), " "), F.split(T.display_text(a), " ")
-    nb, na = T.numbers_in_order(b), T.numbers_in_order(a)
-    lb, la = _letters(b), _letters(a)
-    added, removed = bag_minus(na, nb), bag_minus(nb, na)
-    supported = F.coalesce((F.size(added) > 0) & (F.size(F.array_except(added, evidence)) == 0) & ~F.arrays_overlap(removed, evidence), F.lit(False))
-    same = F.when(_break_in_word(b, a), "mid_word_break").when(tb == ta, "presentation").when(_same_bag(tb, ta), "reorder").otherwise("spacing")
-    plus, minus = F.size(bag_minus(la, lb)) > 0, F.size(bag_minus(lb, la)) > 0
-    letters = F.when(_same_bag(lb, la), "reorder").when(plus & ~minus, "hallucinated_addition").when(minus & ~plus, "deletion").otherwise("content_substitution")
-    numbers_differ = ~_same_bag(nb, na)
-    other = F.when(numbers_differ & ~supported, "changed_number").when(~numbers_differ & (nb != na), "reorder").when(lb != la, letters).when(numbers_differ, "number_repair").otherwise("reorder")
-    return F.when(b == a, None).when(T.fidelity_chars(b) == T.fidelity_chars(a), same).otherwise(other)
 
+def change(before: str, after: str, printed: set[str] | None) -> tuple[str | None, list[str]]:
+    """How a cell changed (null: not at all), and, where spaces moved, the words that joined others.
 
-def cell_changes(pairs: DataFrame, key: str, before: str, after: str, evidence: str | None = None) -> DataFrame:
-    """``key, r, c, before, after, kind``: changed cells of tables of one shape (rows from 1)."""
+    ``printed`` are the numbers on its pages, null if unknown: they alone let a number change.
+    """
+    before, after = before.strip(), after.strip()
+    if before == after:
+        return None, []
+    own, new = _tokens(before), _tokens(after)
+    if "".join(own) == "".join(new):
+        if _breaks_a_word(before, after):
+            return "mid_word_break", []
+        if own == new:
+            return "presentation", []
+        if Counter(own) == Counter(new):
+            return "reorder", []
+        return "spacing", _made_of_several(own, new)
+    numbers, others = _numbers(before), _numbers(after)
+    repaired = Counter(numbers) != Counter(others)
+    if repaired:
+        added, removed = Counter(others) - Counter(numbers), Counter(numbers) - Counter(others)
+        if printed is None or not added or not printed.issuperset(added) or not printed.isdisjoint(removed):
+            return "changed_number", []
+    elif numbers != others:
+        return "reorder", []
+    letters, others = ("".join(_NUMBER.sub(" ", " ".join(t)).split()) for t in (own, new))
+    if letters == others:
+        return ("number_repair" if repaired else "reorder"), []
+    more, less = Counter(others) - Counter(letters), Counter(letters) - Counter(others)
+    if more and less:
+        return "content_substitution", []
+    return ("hallucinated_addition" if more else "deletion" if less else "reorder"), []
+
+
+def match(cells: Sequence[tuple[str, str, str]], records: Sequence[dict]) -> list[int | None]:
+    """For each cell (name, before, after), in order, the record that speaks of it; a record speaks once.
+
+    The last record that names the cell comes first, if it is still free; then the first free one
+    with the cell's texts before and after; then the first free one with its text before.
+    """
+    named, both, before = {}, defaultdict(deque), defaultdict(deque)
+    for k, r in enumerate(records):
+        if r["cell"]:
+            named[r["cell"].upper().replace(" ", "")] = k
+        b, a = ((r[c] or "").strip() for c in ("before", "after"))
+        both[b, a].append(k)
+        before[b].append(k)
+    used: set[int] = set()
+
+    def first(free: deque | None) -> int | None:
+        while free and free[0] in used:
+            free.popleft()
+        return free[0] if free else None
+
+    out = []
+    for name, b, a in cells:
+        k = named.get(name)
+        if k is None or k in used:
+            k = first(both.get((b.strip(), a.strip())))
+        if k is None:
+            k = first(before.get(b.strip()))
+        if k is not None:
+            used.add(k)
+        out.append(k)
+    return out
+
+
+#: Of a record of a change; ``confidence`` is a number in JSON.
+RECORD = "cell string, before string, after string, reason string, evidence string, confidence string"
+_RECORD_TYPE = pa.struct([(f.split()[0], pa.string()) for f in RECORD.split(", ")])
+_CELL_NAMES = ["r", "c", "before", "after", "record"]
+_CELL_TYPES = [pa.int32(), pa.int32(), pa.string(), pa.string(), _RECORD_TYPE]
+
+
+def _matched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tables to cells, a table at a time."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            b, a, records = (batch.column(c)[k].as_py() for c in ("b", "a", "records"))
+            records = [r for r in records or () if r]
+            at = [(i, j) for i, row in enumerate(b, 1) for j in range(1, len(row) + 1)]
+            texts = [(x or "", y or "") for own, new in zip(b, a, strict=True) for x, y in zip(own, new, strict=True)]
+            found = match([(f"R{i}C{j}", *t) for (i, j), t in zip(at, texts, strict=True)], records)
+            rows = [(*p, *t, None if m is None else records[m]) for p, t, m in zip(at, texts, found, strict=True)]
+            keys = batch.column("key").slice(k, 1).take(pa.array([0] * len(rows), pa.int32()))
+            same = batch.column("e").slice(k, 1).take(pa.array([0] * len(rows), pa.int32()))
+            yield pa.RecordBatch.from_arrays([keys, same, *(pa.array([r[n] for r in rows], kind) for n, kind in enumerate(_CELL_TYPES))], names=["key", "e", *_CELL_NAMES])
+
+
+def _kinds(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        printed = [None if e is None else set(e) for e in batch.column("e").to_pylist()]
+        found = [change(b or "", a or "", e) for b, a, e in zip(batch.column("before").to_pylist(), batch.column("after").to_pylist(), printed, strict=True)]
+        cols = {"kind": pa.array([k for k, _ in found], pa.string()), "joins": pa.array([j for _, j in found], pa.list_(pa.string()))}
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in batch.schema.names if n != "e"), *cols.values()], names=[*(n for n in batch.schema.names if n != "e"), *cols])
+
+
+def _tables(pairs: DataFrame, key: str, before: str, after: str, evidence: str | None, more: Sequence[Column] = ()) -> DataFrame:
+    """``key, b, a, e``: both tables as rows of cells (pipe tables are read), the numbers printed on their pages."""
+    rows = lambda c: M.parse(c) if isinstance(pairs.schema[c].dataType, StringType) else F.col(c)
     own = F.col(evidence) if evidence else F.lit(None).cast("array<string>")
-    rows = pairs.select(F.col(key).alias("key"), M.parse(before).alias("b"), M.parse(after).alias("a"), own.alias("e")).where(_one_shape("b", "a"))
-    rows = rows.select("key", "e", F.posexplode(F.arrays_zip("b", "a")).alias("r", "row"))
-    cells = rows.select("key", "e", "r", F.posexplode(F.arrays_zip(F.col("row.b").alias("b"), F.col("row.a").alias("a"))).alias("c", "cell"))
-    out = cells.select("key", (F.col("r") + 1).alias("r"), (F.col("c") + 1).alias("c"), F.col("cell.b").alias("before"), F.col("cell.a").alias("after"), "e")
-    return out.where(F.trim("before") != F.trim("after")).withColumn("kind", cell_kind(F.col("before"), F.col("after"), F.col("e"))).drop("e")
+    return pairs.select(F.col(key).alias("key"), rows(before).alias("b"), rows(after).alias("a"), own.alias("e"), *more)
+
+
+def matched_cells(pairs: DataFrame, key: str, before: str, after: str, records: str, evidence: str | None = None) -> DataFrame:
+    """``key, e, r, c, before, after, record``: all cells of tables of one shape with the record of a change that speaks of each (``match``).
+
+    A record's null texts count as empty, null records as none. A table's cells and records are one row, so nothing is shuffled.
+    """
+    tables = _tables(pairs, key, before, after, evidence, [F.col(records).alias("records")]).where(_one_shape("b", "a"))
+    return tables.mapInArrow(_matched, f"key {pairs.schema[key].dataType.simpleString()}, e array<string>, r int, c int, before string, after string, record struct<{RECORD}>")
+
+
+def cell_changes(pairs: DataFrame, key: str, before: str, after: str, evidence: str | None = None, records: str | None = None, words: DataFrame | None = None) -> DataFrame:
+    """``key, r, c, before, after, kind, reason, evidence, confidence``: changed cells of tables of one shape (rows from 1).
+
+    ``evidence`` names a column of the numbers printed on a table's pages, ``records`` one of what its
+    proposal says of its changes. With ``words`` (word, n), spaces that moved so that several pieces make a word which is
+    printed twice or more are a ``word_restore``; only such words, and each once, meet the vocabulary.
+    """
+    if records:
+        cells = matched_cells(pairs, key, before, after, records, evidence)
+    else:
+        rows = _tables(pairs, key, before, after, evidence).where(_one_shape("b", "a")).select("key", "e", F.posexplode(F.arrays_zip("b", "a")).alias("r", "row"))
+        cells = rows.select("key", "e", "r", F.posexplode(F.arrays_zip(F.col("row.b").alias("b"), F.col("row.a").alias("a"))).alias("c", "cell"))
+        cells = cells.select("key", "e", (F.col("r") + 1).alias("r"), (F.col("c") + 1).alias("c"), F.col("cell.b").alias("before"), F.col("cell.a").alias("after"), F.lit(None).cast(f"struct<{RECORD}>").alias("record"))
+    differ = cells.where(F.coalesce(F.trim("before"), F.lit("")) != F.coalesce(F.trim("after"), F.lit("")))
+    kind = pairs.schema[key].dataType.simpleString()
+    found = differ.mapInArrow(_kinds, f"key {kind}, r int, c int, before string, after string, record struct<{RECORD}>, kind string, joins array<string>").where("kind IS NOT NULL")
+    if words is not None:
+        known = words.where("n >= 2").select("word")
+        at = found.where("size(joins) > 0").select("key", "r", "c", F.explode("joins").alias("word"))
+        good = at.join(at.select("word").distinct().join(known, "word", "left_semi"), "word", "left_semi").select("key", "r", "c").distinct().withColumn("good", F.lit(True))
+        found = found.join(good, ["key", "r", "c"], "left").withColumn("kind", F.when(F.col("good"), "word_restore").otherwise(F.col("kind"))).drop("good")
+    said, sure = proposals.evidence(F.col("record.evidence")), proposals.confidence(F.col("record.confidence"))
+    # that characters stayed is proven, whatever a record says of it; so are numbers found on the pages
+    reported, repaired = F.col("kind").isin(*REPORTED), F.col("kind") == "number_repair"
+    return found.select(
+        *["key", "r", "c", "before", "after", "kind"],
+        F.when(repaired, F.coalesce(F.nullif("record.reason", F.lit("")), F.lit("number restored from source page text"))).otherwise(F.col("record.reason")).alias("reason"),
+        F.when(repaired, "page_text").when(reported, F.coalesce(said, F.lit("not_reported"))).otherwise(said).alias("evidence"),
+        F.when(repaired, 0.95).when(reported, F.coalesce(sure, F.lit(0.9))).otherwise(sure).alias("confidence"),
+    )
 
 
 def _one_shape(b: str, a: str) -> Column:
     return F.col(b).isNotNull() & F.col(a).isNotNull() & (F.transform(F.col(b), F.size) == F.transform(F.col(a), F.size))
 
 
-def verdicts(pairs: DataFrame, key: str, before: str, after: str, evidence: str | None = None, action: str | None = None) -> DataFrame:
+def verdicts(pairs: DataFrame, key: str, before: str, after: str, evidence: str | None = None, action: str | None = None, records: str | None = None, words: DataFrame | None = None) -> DataFrame:
     """``key, verdict, reason, n_changed``: ACCEPT, REVIEW or REJECT of each proposal.
 
     Reasons are those of the verdict, by cell, comma-joined: a table that is none or of another
-    shape, a fatal kind of change; or what asks for a human.
+    shape, a fatal kind of change; or what asks for a human: the proposal itself, cells that moved words or break
+    one, repairs that rest on knowledge alone or that the proposal is not sure of.
     """
-    changed = cell_changes(pairs, key, before, after, evidence)
+    changed = cell_changes(pairs, key, before, after, evidence, records, words)
     where = F.concat(F.lit("R"), F.col("r"), F.lit("C"), F.col("c"))
-    tagged = changed.select("key", F.struct("r", "c", F.concat("kind", F.lit(":"), where).alias("t")).alias("x"), F.col("kind").isin(*FATAL).alias("fatal"), F.col("kind").isin(*REVIEWED).alias("review"))
-    pick = lambda flag: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col(flag), F.col("x")))), lambda x: x["t"]), ",")
-    by = tagged.groupBy("key").agg(F.count("*").alias("n"), pick("fatal").alias("fatal"), pick("review").alias("review"))
+    reported = F.col("kind").isin(*REPORTED)
+    doubt = F.when(F.col("kind").isin(*REVIEWED), F.col("kind")).when(reported & (F.col("evidence") == "medical"), "medical_only_evidence").when(reported & (F.col("confidence") < SURE), "low_confidence")
+    fatal = F.when(F.col("kind").isin(*FATAL), F.col("kind"))
+    pick = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(c.isNotNull(), F.struct("r", "c", F.concat(c, F.lit(":"), where).alias("t"))))), lambda x: x["t"]), ",")
+    by = changed.groupBy("key").agg(F.count("*").alias("n"), pick(fatal).alias("fatal"), pick(doubt).alias("review"))
     asked = F.coalesce(F.upper(F.trim(F.col(action))) == "REVIEW", F.lit(False)) if action else F.lit(False)
-    base = pairs.select(F.col(key).alias("key"), M.parse(before).alias("b"), M.parse(after).alias("a"), asked.alias("asked")).join(by, "key", "left")
+    base = _tables(pairs, key, before, after, None, [asked.alias("asked")]).drop("e").join(by, "key", "left")
     size = lambda x: F.concat(F.size(x).cast("string"), F.lit("x"), F.coalesce(F.size(F.get(F.col(x), 0)), F.lit(0)).cast("string"))
     bad = F.when(F.col("b").isNull() | F.col("a").isNull(), F.lit("invalid_markdown")).when(~_one_shape("b", "a"), F.concat(F.lit("structural_change:"), size("b"), F.lit("->"), size("a"))).otherwise(F.coalesce("fatal", F.lit("")))
     review = F.concat_ws(",", F.when(F.col("asked"), "model_action_review"), F.when(F.coalesce("review", F.lit("")) != "", F.col("review")))

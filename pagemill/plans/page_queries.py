@@ -60,7 +60,7 @@ def word_fonts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 WORD_FONTS = f"""WITH {_L}, sp AS (SELECT page, n * 10000000 + p AS span, (p % 60)::DOUBLE AS x0, (n % 3 * 10)::DOUBLE AS y0, CASE s % 3 WHEN 0 THEN 'SymbolMT' WHEN 1 THEN 'AdobePiStd' ELSE 'Times' END AS font FROM l),
 w AS (SELECT DISTINCT page, n, p, (p % 60 + s % 40)::DOUBLE AS x0, (n % 3 * 10 + p % 5)::DOUBLE AS y0, '5°■' || p AS text FROM l),
-f AS (SELECT w.page, n, p, w.x0, w.y0, arg_min(font, span) AS font FROM w JOIN sp ON sp.page = w.page AND w.x0 + 3 BETWEEN sp.x0 - 1 AND sp.x0 + 21 AND w.y0 BETWEEN sp.y0 - 2 AND sp.y0 + 10 GROUP BY ALL)
+f AS (SELECT w.page, n, p, w.x0, w.y0, first(font ORDER BY span, font DESC) AS font FROM w JOIN sp ON sp.page = w.page AND w.x0 + 3 BETWEEN sp.x0 - 1 AND sp.x0 + 21 AND w.y0 BETWEEN sp.y0 - 2 AND sp.y0 + 10 GROUP BY ALL)
 SELECT w.page, w.n, w.p, w.x0, w.y0, font, CASE font WHEN 'SymbolMT' THEN replace(text, '°', chr(57344)) WHEN 'AdobePiStd' THEN replace(text, '■', chr(57345)) ELSE text END AS text FROM w LEFT JOIN f USING (page, n, p, x0, y0)"""
 
 
