@@ -121,6 +121,14 @@ def qa_suspects_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocab.joined_pair_suspects(d, "doc_id", "text", vocab.vocab_words(d, "text"), vocab.vocab_pairs(d, "text")).withColumnRenamed("key", "doc_id")
 
 
+def qa_suspects_torn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth document has words come apart; the vocabulary is that of whole documents."""
+    d = docs(spark, sf_dir)
+    torn = d.select("doc_id", F.when(F.col("doc_id") % 5 == 0, F.regexp_replace("text", _TORN_WORD, "$1 $2")).otherwise(F.col("text")).alias("text"))
+    return vocab.joined_pair_suspects(torn, "doc_id", "text", vocab.vocab_words(d, "text"), vocab.vocab_pairs(d, "text")).withColumnRenamed("key", "doc_id")
+
+
+_TORN_WORD = "([a-z]{3})([a-z]{3,})"
 _FUNCTION = ", ".join(f"'{w}'" for w in vocab.FUNCTION_WORDS)
 QA_SUSPECTS_PAIRS = f"""
 WITH {ROW_WORDS}, v AS (SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM row_words) GROUP BY word),
@@ -134,6 +142,9 @@ WHERE p.w1 IS NULL AND NOT regexp_matches(a, '^[A-Z]') AND NOT regexp_matches(b,
 AND j.n >= 2 AND j.n > coalesce(x.n, 0) AND j.n > coalesce(y.n, 0) GROUP BY 1, 2, 3"""
 
 
+QA_SUSPECTS_TORN_PAIRS = QA_SUSPECTS_PAIRS.replace("regexp_extract_all(coalesce(text, '')", f"regexp_extract_all(CASE WHEN doc_id % 5 = 0 THEN regexp_replace(coalesce(text, ''), '{_TORN_WORD}', '\\1 \\2', 'g') ELSE coalesce(text, '') END")
+
+
 def _torn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in which some words have come apart and others have run together."""
     x = F.replace(F.replace(F.replace(F.col("text"), F.lit(" the "), F.lit(" the")), F.lit(" and "), F.lit("and")), F.lit("tion"), F.lit("t ion"))
@@ -228,9 +239,9 @@ _GLYPH_STEPS = (
 )
 
 
-def _glyph_sql() -> str:
-    ctes, last = [_broken_sql(BROKEN_GLYPHS)], "broken"
-    for k, (_, pattern, by) in enumerate(_GLYPH_STEPS):
+def _glyph_sql(defects: tuple = BROKEN_GLYPHS, steps: tuple = _GLYPH_STEPS) -> str:
+    ctes, last = [_broken_sql(defects)], "broken"
+    for k, (_, pattern, by) in enumerate(steps):
         by = r"\11→\2" if by.startswith(r"\g1") else by
         # RE2 replacements know one digit, so the literal 1 after a group is put in by a second step
         if by.startswith(r"\11"):
@@ -246,6 +257,31 @@ GLYPH_REPAIR = f"{_glyph_sql()} SELECT b.doc_id, CASE WHEN regexp_matches(b.text
 GLYPH_COUNTS = f"{_glyph_sql()} SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{name}' AS rule, sum(n)::BIGINT AS n FROM s{k}" for k, (name, _, _) in enumerate(_GLYPH_STEPS)) + ") WHERE n > 0"
 
 
+LINKS = ((" of ", " (Ago 1 \ue000 4) "), (" in ", " 5' \ue000 5' "), (" and ", " α ( 1 \ue000 6 ) "), (" the ", " β(\ue0003) "), (" que ", " 5’\ue0003ʹ "), (" der ", " (Ago2 \ue000 4) "))
+_LINK_STEPS = (
+    ("ago_range_dash", rf"\(Ago{_S}*1{_S}*\x{{e000}}{_S}*4\)", "(Ago1-4)"),
+    ("cap_link_dash", rf"5{_S}*[''’‘ʹ]{_S}*\x{{e000}}{_S}*5{_S}*[''’‘ʹ]", "5''-5''"),
+    _GLYPH_STEPS[0],
+    ("bond_paren_arrow", rf"(α|β){_S}*\({_S}*1?{_S}*\x{{e000}}{_S}*(\d){_S}*\)", r"\1(1→\2)"),
+    *_GLYPH_STEPS[1:],
+)
+
+
+def glyph_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges, caps and bonds whose dash or arrow is a broken glyph, by how often each rule applied."""
+    fixed = _broken(spark, sf_dir, LINKS).select("doc_id", T.glyph_repair("text").alias("g"))
+    rules = F.array_join(F.transform(F.array_sort(F.map_entries("g.counts")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
+    return fixed.select("doc_id", F.col("g.text").alias("text"), rules.alias("rules"))
+
+
+def _links_sql() -> str:
+    n = len(_LINK_STEPS)
+    counts = ", ".join(f"CASE WHEN s{k}.n > 0 THEN '{name}=' || s{k}.n END" for k, (name, *_) in sorted(enumerate(_LINK_STEPS), key=lambda x: x[1][0]))
+    joins = " ".join(f"JOIN s{k} USING (doc_id)" for k in range(n))
+    mark = "regexp_matches(b.text, '[\\x{e000}\\x{e001}]')"
+    return f"{_glyph_sql(LINKS, _LINK_STEPS)} SELECT doc_id, CASE WHEN {mark} THEN regexp_replace(s{n - 1}.text, '  +', ' ', 'g') ELSE b.text END AS text, CASE WHEN {mark} THEN concat_ws(',', {counts}) ELSE '' END AS rules FROM broken b {joins}"
+
+
 def camel_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _broken(spark, sf_dir, BROKEN_SPACING).select("doc_id", T.camel_split("text").alias("text"))
 
@@ -266,6 +302,26 @@ def verified_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _broken(spark, sf_dir, BROKEN_SPACING).select("doc_id", T.merged("text", {"do me": "dome", "is do": "isdo"}).alias("text"))
 
 
+def _phrased(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of the checked phrases in each document, for a frequent word, and once inside a longer word."""
+    phrase = F.element_at(F.array(*[F.lit(p) for p in T.VERIFIED_MERGES]), (F.col("doc_id") % len(T.VERIFIED_MERGES) + 1).cast("int"))
+    planted = F.replace(F.replace(F.col("text"), F.lit(" the "), F.concat(F.lit(" "), phrase, F.lit(", "))), F.lit(" de "), F.concat(F.lit(" "), phrase, F.lit(" x")))
+    return docs(spark, sf_dir).select("doc_id", F.replace(planted, F.lit(" and "), F.concat(F.lit(" a"), phrase, F.lit(" "))).alias("text"))
+
+
+def verified_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _phrased(spark, sf_dir).select("doc_id", T.merged("text", T.VERIFIED_MERGES).alias("text"))
+
+
+def _phrases_sql() -> str:
+    listed = ", ".join(f"'{p}'" for p in T.VERIFIED_MERGES)
+    p = f"([{listed}])[doc_id % {len(T.VERIFIED_MERGES)} + 1]"
+    text = f"replace(replace(replace(text, ' the ', ' ' || {p} || ', '), ' de ', ' ' || {p} || ' x'), ' and ', ' a' || {p} || ' ')"
+    for phrase, by in T.VERIFIED_MERGES.items():
+        text = f"regexp_replace({text}, '\\b{phrase}\\b', '{by}', 'g')"
+    return f"SELECT doc_id, {text} AS text FROM documents"
+
+
 def spacing_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _broken(spark, sf_dir, BROKEN_SPACING).select("doc_id", T.spacing_fix("text").alias("text"))
 
@@ -302,8 +358,8 @@ _SHOWN = rf"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(reg
 QUERIES = {
     f.__name__: f
     for f in (
-        dup_documents, vocab_words, vocab_pairs, numeric_tokens, numeric_drift, thin_options, bad_answer, flags_by_kind, lost_space, qa_suspects_pairs, qa_suspects_fragments, token_repair,
-        glyph_repair, glyph_counts, camel_split, space_before_punct, bracket_padding, multi_space, verified_merges, spacing_fix, fingerprints, display_text,
+        dup_documents, vocab_words, vocab_pairs, numeric_tokens, numeric_drift, thin_options, bad_answer, flags_by_kind, lost_space, qa_suspects_pairs, qa_suspects_torn_pairs, qa_suspects_fragments, token_repair,
+        glyph_repair, glyph_counts, camel_split, space_before_punct, bracket_padding, multi_space, verified_merges, verified_phrases, glyph_links, spacing_fix, fingerprints, display_text,
     )
 }
 ORACLES = {
@@ -322,6 +378,9 @@ ORACLES = {
     "token_repair": TOKEN_REPAIR,
     "glyph_repair": GLYPH_REPAIR,
     "glyph_counts": GLYPH_COUNTS,
+    "glyph_links": _links_sql(),
+    "verified_phrases": _phrases_sql(),
+    "qa_suspects_torn_pairs": QA_SUSPECTS_TORN_PAIRS,
     "camel_split": f"{_SPACED} SELECT doc_id, {CAMEL} AS text FROM broken",
     "space_before_punct": f"{_SPACED} SELECT doc_id, {PUNCT} AS text FROM broken",
     "bracket_padding": f"{_SPACED} SELECT doc_id, regexp_replace(regexp_replace(text, '\\({_S}+', '(', 'g'), '{_S}+\\)', ')', 'g') AS text FROM broken",

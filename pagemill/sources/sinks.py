@@ -9,11 +9,24 @@ PARTS = ("subject", "chapter_id")
 
 
 def write_split(frames: dict[str, DataFrame], completeness: DataFrame, root: str) -> None:
-    """Each table partitioned by subject and chapter; completeness last, as the marker of a whole write."""
+    """Each table partitioned by subject and chapter; completeness last, as the marker of a whole write.
+
+    Chapters that are written anew lose their marker first, so that one which fails half way counts as not written.
+    """
+    spark = completeness.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for row in completeness.select(*PARTS).distinct().toLocalIterator():
+        p = jvm.org.apache.hadoop.fs.Path("/".join([f"{root}/completeness", *[f"{c}={row[c]}" for c in PARTS]]))
+        p.getFileSystem(conf).delete(p, True)
     for name, df in [*frames.items(), ("completeness", completeness)]:
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).json(f"{root}/{name}")
 
 
+def whole_chapters(rows: DataFrame, completeness: DataFrame) -> DataFrame:
+    """Rows of chapters that have their marker."""
+    return rows.join(completeness.select(*PARTS).distinct(), list(PARTS), "left_semi")
+
+
 def append_ledger(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from pagemill.functions.text import DEGREE, SQUARE
 from pagemill.operators import book as whole
+from pagemill.sources import sinks
+from pagemill.sources.verified import Store, edit_tables
 from pagemill.streaming import ledgers
 
 SCHEMA = "key string, seq long, value string"
@@ -94,3 +96,95 @@ def test_glyph_counts_and_grids_of_a_book(spark):
     assert r.glyph_fixes == {"bond_alpha1_arrow": 1, "delta_greek": 1, "reaction_arrow": 1} and r["flags"] == []
     assert [(x.zone, x.page, x.box) for x in r.table_regions] == [("SOL", 2, 1)]
     assert "cell two" in of(None).solution_text
+
+
+TABLES = "q_id string, tables array<struct<table_id: string, markdown: string>>"
+GOOD = "| a | b |\n|---|---|\n| c | d |"
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    s = Store(spark, str(tmp_path / "store"), ["questions", "solutions"])
+    rows = [("B-1", [("T1", "old"), ("T2", "other")]), ("B-2", [])]
+    first = spark.createDataFrame(rows, TABLES)
+    assert s.write({"questions": first, "solutions": first.where("q_id = 'B-1'")}).ok
+    return s
+
+
+def tables_of(store):
+    return {n: {r.q_id: [tuple(t) for t in r.tables] for r in df.collect()} for n, df in store.read().items()}
+
+
+def edits_of(spark, *rows):
+    return spark.createDataFrame(rows, "q_id string, table_id string, markdown string")
+
+
+def test_edits_reach_every_copy_or_none(spark, store, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    before = tables_of(store)
+    for edits, why in (([("B-1", "T1", "| a |")], "uneven"), ([("B-1", "T9", GOOD)], "not found"), ([("B-1", "T1", GOOD), ("B-7", "T1", None)], "not found")):
+        out = edit_tables(store, edits_of(spark, *edits), ledger=ledger)
+        assert not out.ok and why in out.why and tables_of(store) == before
+    out = edit_tables(store, edits_of(spark, (" b-1 ", "T1", GOOD), ("B-1", "T2", None)), ledger=ledger)
+    assert (out.ok, out.changed) == (True, 4)
+    assert tables_of(store) == {"questions": {"B-1": [("T1", GOOD)], "B-2": []}, "solutions": {"B-1": [("T1", GOOD)]}}
+    assert sorted(r.kind for r in spark.read.json(ledger).collect()) == ["table_delete", "table_edit"]
+    assert edit_tables(store, edits_of(spark, ("B-1", "T1", GOOD)).limit(0)).ok
+
+
+def test_an_update_that_fails_half_way_leaves_what_stood(spark, store, monkeypatch):
+    before = tables_of(store)
+    write = DataFrameWriter.parquet
+
+    def dying(self, path, *args, **kwargs):
+        if path.endswith("solutions"):
+            raise OSError("killed")
+        write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", dying)
+    with pytest.raises(OSError, match="killed"):
+        edit_tables(store, edits_of(spark, ("B-1", "T1", GOOD)))
+    monkeypatch.undo()
+    assert tables_of(store) == before
+    # the driver is gone before it can clean up: a version without its mark
+    spark.createDataFrame([("B-1", [])], TABLES).write.parquet(f"{store.root}/v-000000007/questions")
+    assert tables_of(store) == before
+    assert edit_tables(store, edits_of(spark, ("B-1", "T1", GOOD))).ok and store.current() == "v-000000008"
+    store.drop_old(keep=1)
+    assert store._versions() == ["v-000000008"]
+
+
+def test_what_is_read_back_is_compared(spark, store, monkeypatch):
+    before = tables_of(store)
+    write = DataFrameWriter.parquet
+
+    def losing(self, path, *args, **kwargs):
+        write(self._df.limit(1).write if path.endswith("questions") else self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", losing)
+    out = edit_tables(store, edits_of(spark, ("B-1", "T1", GOOD)))
+    monkeypatch.undo()
+    assert (out.ok, out.why) == (False, "read-back mismatch: questions") and tables_of(store) == before
+
+
+def test_chapters_count_with_their_marker(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "split")
+    rows = lambda v: spark.createDataFrame([("B", "1", v), ("B", "2", v)], "subject string, chapter_id string, v string")
+    read = lambda: sorted((r.chapter_id, r.v) for r in sinks.whole_chapters(spark.read.json(f"{root}/questions"), spark.read.schema("n long, subject string, chapter_id string").json(f"{root}/completeness")).collect())
+    done = lambda: rows("x").select("subject", "chapter_id", F.lit(1).alias("n"))
+    sinks.write_split({"questions": rows("one")}, done(), root)
+    assert [v for _, v in read()] == ["one", "one"]
+    write = DataFrameWriter.json
+
+    def dying(self, path, *args, **kwargs):
+        if path.endswith("completeness"):
+            raise OSError("killed")
+        write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "json", dying)
+    with pytest.raises(OSError, match="killed"):
+        sinks.write_split({"questions": rows("two").where("chapter_id = '2'")}, done().where("chapter_id = '2'"), root)
+    monkeypatch.undo()
+    assert read() == [("1", "one")] or [(str(a), b) for a, b in read()] == [("1", "one")]
+    sinks.write_split({"questions": rows("two").where("chapter_id = '2'")}, done().where("chapter_id = '2'"), root)
+    assert [(str(a), b) for a, b in read()] == [("1", "one"), ("2", "two")]
