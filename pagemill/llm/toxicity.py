@@ -19,6 +19,8 @@ WINDOW = 48
 LEVEL = 6
 #: Labelled documents of each class that are learned from, at most; their texts are whole.
 TRAIN_DOCS = 3000
+#: And bytes of their texts, in each class: the driver learns from them.
+TRAIN_BYTES = 64 << 20
 ORDINARY_BYTES = 32 << 10
 #: Sizes of the toxic dictionary that are tried.
 TOXIC_BYTES = (4096, 2048, 1024, 512, 256)
@@ -208,8 +210,9 @@ def fit(toxic: list[str], ordinary: list[str], share: float) -> Model:
     return Model(base, own, mean, scale, w)
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column, train_docs: int = TRAIN_DOCS, doc_id: str = "doc_id", text: str = "text") -> Model | None:
-    """Learns from the whole texts of at most ``train_docs`` documents of each class, taken by a hash of the text.
+def train(docs: DataFrame, labels: DataFrame, learn: Column, train_docs: int = TRAIN_DOCS, train_bytes: int = TRAIN_BYTES, doc_id: str = "doc_id", text: str = "text") -> Model | None:
+    """Learns from the whole texts of at most ``train_docs`` documents and ``train_bytes`` of each class, in the order of a hash of the
+    text; of two documents whatever their size.
 
     Null texts, ids and labels are passed over; with less than two documents of a class there is
     no model. The share of toxic ones is that of all labelled documents.
@@ -223,9 +226,11 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, train_docs: int = T
     for k in (0, 1):
         share = F.lit(min(1 << 30, int(2 * train_docs / counts[k] * (1 << 30)) + 1))
         # ids first, then the texts of the few: no text is shuffled
-        keys = rows.select("doc_id", F.xxhash64("text").alias("h")).where(F.pmod("h", F.lit(1 << 30)) < share)
-        keys = keys.join(known.where(F.col("toxic") == k).select("doc_id").distinct(), "doc_id", "left_semi").groupBy("h").agg(F.min("doc_id").alias("doc_id"))
-        ids = [r["doc_id"] for r in keys.orderBy("h").limit(train_docs).collect()]
+        keys = rows.select("doc_id", F.xxhash64("text").alias("h"), F.octet_length("text").alias("bytes")).where(F.pmod("h", F.lit(1 << 30)) < share)
+        keys = keys.join(known.where(F.col("toxic") == k).select("doc_id").distinct(), "doc_id", "left_semi").groupBy("h").agg(F.min(F.struct("doc_id", "bytes")).alias("r"))
+        first = keys.orderBy("h").limit(train_docs).select("r.*").collect()
+        within = np.cumsum([r["bytes"] for r in first]) <= train_bytes
+        ids = [r["doc_id"] for n, (r, fits) in enumerate(zip(first, within, strict=True)) if fits or n < 2]
         texts = rows.where(F.col("doc_id").isin(ids)).select("text", F.xxhash64("text").alias("h")).collect()
         picked[k] = [t for _, t in sorted({r["h"]: r["text"] for r in texts}.items())]
     if min(map(len, picked.values())) < 2:
