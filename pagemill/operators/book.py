@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import text as T
 from pagemill.operators import claims, layout, pages, rows
+from pagemill.sources.scratch import Scratch
 
 OPTION = r"(?s)^([a-d])\)\s*(.*)$"
 ON = ["subject", "chapter_no", "q_no"]
@@ -68,12 +69,13 @@ def records(lines: DataFrame, key_words: DataFrame, boxes: DataFrame | None = No
     ``glyph_fixes`` counts the repairs of all texts of a record; a glyph that no rule explains flags it. Lines inside
     ruled ``boxes`` (subject, page, box, by0, by1; those with readable cells) are no text: ``table_regions`` says which box took some.
     """
-    every = heads(lines)
+    scratch = Scratch(lines.sparkSession, "book")
+    every = scratch.write(heads(lines), "heads")
     chapter = F.struct("subject", "chapter_no").alias("chapter")
     head = every.select(chapter, "pos", "zone", "q_no")
     keyed = lines.withColumn("chapter", chapter).join(every.select(chapter, "pos", F.lit(True).alias("_head")), ["chapter", "pos"], "left").where("_head IS NULL").drop("_head")
     body = claims.owners(keyed, head, "chapter", "pos").where("zone IS NOT NULL").withColumn("at", F.struct("page", "y0", "x0", "line_no"))
-    regions = None
+    body, regions = scratch.write(body, "lines"), None
     if boxes is not None:
         body, regions = _prose(body, boxes)
     letter = F.regexp_extract(F.trim("text"), OPTION, 1)
@@ -84,10 +86,12 @@ def records(lines: DataFrame, key_words: DataFrame, boxes: DataFrame | None = No
     opens = (F.col("m") == F.col("slot")) & (F.row_number().over(W.partitionBy(*ON, "slot").orderBy("o")) == 1)
     slots = slots.withColumn("text", F.when(opens, F.regexp_extract(F.trim("text"), OPTION, 2)).otherwise(F.col("text"))).withColumn("g", F.struct(*ON, "slot"))
     joined = layout.reflow(slots, "g", "o", "page", "y0", "y1", "text").select("g.*", _repaired(F.col("text")).alias("r"))
+    joined = scratch.write(joined, "questions")
     stems = joined.where("slot = '.'").select(*ON, F.col("r.text").alias("question_text"))
     options = joined.where("slot <> '.'").groupBy(*ON).agg(F.map_from_entries(F.collect_list(F.struct(F.upper("slot"), "r.text"))).alias("options"))
     solved = body.where("zone = 'SOL'").withColumns({"g": F.struct(*ON)})
     solutions = layout.reflow(solved, "g", "at", "page", "y0", "y1", "text").select("g.*", _repaired(F.col("text")).alias("r"))
+    solutions = scratch.write(solutions, "solutions")
     fixes = _fixes([joined, solutions])
     solutions = solutions.select(*ON, F.col("r.text").alias("solution_text"))
 
@@ -111,6 +115,7 @@ def records(lines: DataFrame, key_words: DataFrame, boxes: DataFrame | None = No
 
 
 def rows_of(lines: DataFrame, key_words: DataFrame, toc: DataFrame, offset: int, last_page: int, boxes: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The four kinds of rows, and ``completeness``, of a book."""
+    """The four kinds of rows, and ``completeness``, of a book. Lines by zone, repaired texts and records are written, as all rows come of them."""
     recs = rows.graded(records(chapters(lines, toc, offset, last_page), key_words, boxes))
+    recs = Scratch(lines.sparkSession, "book").write(recs, "records")
     return rows.fan_out(recs) | {"completeness": rows.completeness(recs)}
