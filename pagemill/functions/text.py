@@ -39,17 +39,6 @@ def shingles(stem: Column | str, n: int = 8) -> Column:
     return F.when(stem == "", F.array().cast("array<string>")).otherwise(let(F.split(stem, " "), runs))
 
 
-def hashed_shingles(stem: Column | str, n: int = 8) -> Column:
-    """``shingles`` as 64-bit hashes, from hashes of the words."""
-    stem = c(stem)
-
-    def runs(words: Column) -> Column:
-        every = F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.xxhash64(F.slice(words, i, n)))
-        return F.when(F.size(words) < n, F.array(F.xxhash64(words))).otherwise(F.array_distinct(every))
-
-    return F.when(stem == "", F.array().cast("array<bigint>")).otherwise(let(F.transform(F.split(stem, " "), lambda w: F.xxhash64(w)), runs))
-
-
 def numbers(text: Column | str) -> Column:
     """Distinct numbers of a text for audits: grouping commas dropped, trailing separators cut."""
     found = F.regexp_extract_all(F.coalesce(c(text), F.lit("")), F.lit(r"\p{Nd}[\p{Nd},\.]*"), F.lit(0))
