@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.sources.tables import table
-from pagemill.streaming import ledgers
+from pagemill.streaming import ledgers, pool
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +47,15 @@ def stream_staleness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.select("key", "seq", "state")
 
 
-QUERIES = {f.__name__: f for f in (stream_daily_quota, stream_latest_decision, stream_sliding_rate, stream_sessions, stream_staleness)}
+def stream_key_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as calls of twenty pools of three keys; errors are of a minute's quota, a day's, or a refused key."""
+    i = F.col("event_id")
+    outcome = F.when(F.col("event_type") != "error", "ok").when(i % 3 == 0, "per_minute").when(i % 7 == 0, "per_day").when(i % 11 == 0, "bad_key").otherwise("ok")
+    calls = _events(spark, sf_dir).select((F.col("user_id") % 20).alias("pool"), i.alias("seq"), F.col("ts").cast("timestamp").alias("ts"), outcome.alias("outcome"))
+    return ledgers.drained(pool.rotated(calls, keys=3, day=40), "append", _name())
+
+
+QUERIES = {f.__name__: f for f in (stream_daily_quota, stream_latest_decision, stream_sliding_rate, stream_sessions, stream_staleness, stream_key_pool)}
 ORACLES = {
     "stream_daily_quota": "SELECT user_id, ts::DATE AS day, count(*) AS calls FROM events GROUP BY 1, 2",
     "stream_latest_decision": "SELECT user_id || '|' || event_type AS key, max(event_id) AS seq, arg_max(value, event_id) AS value FROM events GROUP BY 1",
