@@ -37,6 +37,25 @@ def test_glyphs(spark, broken, whole, counts):
     assert got.text == whole and (counts is None or got.counts == counts)
 
 
+@pytest.mark.parametrize(
+    ("broken", "whole", "counts"),
+    [
+        (f"that{S} {S}and{S} 5", f"that {S}andΔ5", {"delta_greek": 1, "stray_drop": 1}),  # no rule explains the second square
+        (f"that{S} ", "that ", {"stray_drop": 1}),
+        (f"a{S} \u0661", "a \u0661", {"stray_drop": 1}),
+        (f"a\x1c{D}\x1cb", "a → b", {"reaction_arrow": 1}),
+    ],
+)
+def test_strict_glyphs(spark, broken, whole, counts):
+    got = one(spark, broken, lambda x: T.glyph_repair(x, strict=True))
+    assert (got.text, got.counts) == (whole, counts)
+
+
+def test_what_no_rule_explains_gets_its_glyph_back(spark):
+    got = one(spark, f"that{S} {S}and{S} 5", T.glyph_repair)
+    assert got.text == "that ■andΔ5" and got.counts["unknown_glyph"] == 1
+
+
 @pytest.mark.parametrize(
     ("glued", "fixed"),
     [
