@@ -110,17 +110,21 @@ def mid_word_breaks(before: Column, after: Column) -> Column:
     return F.when(bare(before) == bare(after), F.size(inside)).otherwise(0)
 
 
-def spacing_scores(words: DataFrame, vocabulary: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
+def neighbours(texts: DataFrame, *keys: str) -> DataFrame:
+    """``keys, w1, w2``: words side by side in ``words``, an array for each text."""
+    beside = F.zip_with(F.slice("words", 1, F.size("words") - 1), F.slice("words", 2, F.size("words") - 1), lambda a, b: F.struct(a.alias("w1"), b.alias("w2")))
+    return texts.where(F.size("words") > 1).select(*keys, F.explode(beside).alias("p")).select(*keys, "p.w1", "p.w2")
+
+
+def spacing_scores(texts: DataFrame, vocabulary: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
     """``key, score`` of each spacing of a text: -1 if it has a word that the book prints less than twice, else how often the book prints its pairs of neighbours.
 
-    ``words`` are ``key, at, word`` (three letters or more, lower case), ``vocabulary`` ``word, n``, ``pairs`` ``w1, w2, n``.
-    Words are counted by text before they meet the vocabulary, so a frequent word is sent once for each text.
+    ``texts`` are ``key, words`` (in order, three letters or more, lower case; a key is one row), ``vocabulary`` ``word, n``, ``pairs`` ``w1, w2, n``.
+    Neighbours are found where a text is, so words are not shuffled to meet each other.
     """
-    seen = words.select(key, "word").distinct().join(vocabulary, "word", "left")
+    seen = texts.select(key, F.explode(F.array_distinct("words")).alias("word")).join(vocabulary, "word", "left")
     least = seen.groupBy(key).agg(F.min(F.coalesce("n", F.lit(0))).alias("least"))
-    nxt = words.select(key, (F.col("at") - 1).alias("at"), F.col("word").alias("w2"))
-    met = words.join(nxt, [key, "at"]).groupBy(key, F.col("word").alias("w1"), "w2").agg(F.count("*").alias("times"))
-    total = met.join(pairs, ["w1", "w2"], "left").groupBy(key).agg(F.sum(F.col("times") * F.coalesce("n", F.lit(0))).alias("total"))
+    total = neighbours(texts, key).join(pairs, ["w1", "w2"]).groupBy(key).agg(F.sum("n").alias("total"))
     return least.join(total, key, "left").select(key, F.when(F.col("least") < 2, F.lit(-1)).otherwise(F.coalesce("total", F.lit(0))).cast("long").alias("score"))
 
 

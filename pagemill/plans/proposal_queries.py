@@ -101,11 +101,11 @@ def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spacing_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as readings of a cell; the book is all of them."""
-    words = _tokens(spark, sf_dir)
-    nxt = words.select("doc_id", (F.col("at") - 1).alias("at"), F.col("word").alias("w2"))
-    pairs = words.withColumnRenamed("word", "w1").join(nxt, ["doc_id", "at"]).groupBy("w1", "w2").agg(F.count("*").alias("n"))
-    vocabulary = words.groupBy("word").agg(F.count("*").alias("n"))
-    return proposals.spacing_scores(words, vocabulary, pairs, "doc_id")
+    found = F.regexp_extract_all("text", F.lit("[A-Za-z]{3,}"), F.lit(0))
+    texts = table(spark, sf_dir, "documents").select("doc_id", F.transform(found, F.lower).alias("words"))
+    pairs = proposals.neighbours(texts).groupBy("w1", "w2").agg(F.count("*").alias("n"))
+    vocabulary = texts.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return proposals.spacing_scores(texts, vocabulary, pairs, "doc_id")
 
 
 SPACING_SCORES = f"""WITH {_TOKENS}, v AS (SELECT word, count(*) AS n FROM tok GROUP BY 1), nb AS (SELECT a.doc_id, a.word AS w1, b.word AS w2 FROM tok a JOIN tok b ON b.doc_id = a.doc_id AND b.at = a.at + 1),

@@ -2,7 +2,7 @@
 
 import pytest
 
-from pagemill.operators import vocab
+from pagemill.operators import proposals, vocab
 
 TEXTS = [(k, "the big dog saw the big cat and a layer ed part of it layered layered " * 20) for k in range(40)]
 
@@ -20,3 +20,11 @@ def test_places_of_other_tokens_are_dropped_where_they_are_read(spark, find):
     got.collect()
     # suspects are written before places are read: what is left to join are places and suspects, and a fragment's neighbours
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= (3 if find == "fragments" else 1)
+
+
+def test_neighbours_are_found_where_a_text_is(spark):
+    texts = spark.createDataFrame([(1, ["the", "big", "the", "big"]), (2, ["the"]), (3, [])], "k int, words array<string>")
+    vocabulary = spark.createDataFrame([("the", 3), ("big", 2)], "word string, n long")
+    pairs = spark.createDataFrame([("the", "big", 2), ("big", "the", 1)], "w1 string, w2 string, n long")
+    got = proposals.spacing_scores(texts, vocabulary, pairs, "k")
+    assert {r.k: r.score for r in got.collect()} == {1: 5, 2: 0}
