@@ -77,8 +77,19 @@ def anomalies(rows: DataFrame, group: str, number: str) -> DataFrame:
     return doubled.unionByName(broken)
 
 
+#: Rows of one partition of a window, about: what its sort holds follows from that and not from the input.
+DEALT = 1 << 19
+
+
+def dealt(rows: DataFrame, n: int, *keys: str) -> DataFrame:
+    """``rows`` (about ``n``) by ``keys``, in more partitions where they are many; at few rows the session's own number serves."""
+    parts = -(-n // DEALT)
+    return rows.repartition(parts, *keys) if parts > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows
+
+
 def longest_run(rows: DataFrame, group: str, order: list[str], number: str, page: str) -> DataFrame:
     """``group, start, length``: the longest stretch whose numbers step by one and whose pages rise; the first of equal ones."""
+    rows = dealt(rows, rows.count(), group)
     w = W.partitionBy(group).orderBy(*order)
     broken = ~F.coalesce((F.col(number) == F.lag(number).over(w) + 1) & (F.col(page) > F.lag(page).over(w)), F.lit(False))
     runs = rows.select(group, *order, number, F.row_number().over(w).alias("rn"), broken.cast("int").alias("b")).withColumn("run", F.sum("b").over(W.partitionBy(group).orderBy("rn").rowsBetween(W.unboundedPreceding, 0)))
