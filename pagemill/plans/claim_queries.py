@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.operators import claims, rows, tables
+from pagemill.operators import claims, layout, rows, tables
 from pagemill.sources.tables import table
 
 _L = "l AS (SELECT l_orderkey AS ch, l_linenumber AS n, l_partkey AS p, l_suppkey AS s FROM lineitem)"
@@ -127,7 +127,8 @@ def table_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A line as a ruled box; headers, variants and columns by part and supplier."""
     p, s = F.col("p"), F.col("s")
-    firsts = _lines(spark, sf_dir).groupBy(F.col("ch").alias("subject"), F.col("n").alias("page")).agg(F.min("p").alias("p"), F.min("s").alias("s"))
+    lines = _lines(spark, sf_dir)
+    firsts = layout.dealt(lines, lines.count(), "ch").groupBy(F.col("ch").alias("subject"), F.col("n").alias("page")).agg(F.min("p").alias("p"), F.min("s").alias("s"))
     head = F.array(F.when(p % 3 == 0, "Drug").when(p % 3 == 1, "drug.").otherwise("Dose"))
     body = F.array(F.when(s % 5 == 0, "same").otherwise(p.cast("string")))
     return firsts.select("subject", "page", p.alias("y0"), (p + 300 + s % 300).alias("y1"), F.lit(842).alias("height"), F.array(F.lit(50.0), 200.0 + s % 3 * 4).alias("columns"), F.array(head, body).alias("rows")).withColumn("y0", F.col("y0") % 400)
