@@ -37,3 +37,14 @@ def test_chunks_do_not_run_into_one_another(monkeypatch):
     monkeypatch.setattr(shingles, "CHUNK_BYTES", 1 << 20)
     large = [r for b in shingles._hashed([batch], 2) for r in b.column("sh").to_pylist()]
     assert small == large[1:] and [len(x) for x in large] == [1, 1, 0, 2, 0, 1]
+
+
+def test_shingles_are_shuffled_once_and_not_kept(spark, monkeypatch):
+    from pagemill.operators import audit
+
+    written, write = [], audit.Scratch.write
+    monkeypatch.setattr(audit.Scratch, "write", lambda self, df, name: written.append((name, write(self, df, name))) or written[-1][1])
+    rows = spark.createDataFrame([(1, "a b c d e f g h i"), (2, "a b c d e f g h i"), (3, "z y x w v u t s r")], "k long, t string")
+    got = audit.duplicate_stems(rows, "k", "t").collect()
+    assert [(r.key, r.matched, r.shared, r.smaller) for r in got] == [(2, 1, 2, 2)]
+    assert [name for name, _ in written] == ["met"] and written[0][1].count() == 4
