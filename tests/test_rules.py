@@ -196,3 +196,15 @@ def test_partitions_of_windows_follow_the_rows(spark, monkeypatch):
     runs = layout.longest_run(rows, "g", ["o"], "n", "p")
     assert runs.rdd.getNumPartitions() == 100
     assert {(r.g, r.start, r.length) for r in runs.collect()} == {(g, 0, 10) for g in range(100)}
+
+
+def test_boxes_of_many_pages_are_those_of_each_page():
+    rng = np.random.default_rng(3)
+    sizes = np.sort(rng.integers(1, 40, 200))[::-1]
+    first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    at = rng.integers(0, 40, (int(sizes.sum()), 2)) * 5.0
+    rules = np.concatenate([at, at + rng.integers(0, 4, at.shape) * 5.0, rng.integers(0, 2, (len(at), 1)) * [[1.0, -1.0]] + [[0.0, 1.0]]], axis=1)
+    page, box = boxes._boxes_of_small_pages(rules, first, sizes, 3.0)
+    for p, (a, n) in enumerate(zip(first, sizes, strict=True)):
+        assert np.array_equal(box[page == p], boxes._boxes_of_a_page(rules[a : a + n], 3.0))
+    assert len(boxes._boxes_of_small_pages(rules[:0], first[:0], sizes[:0], 3.0)[1]) == 0
