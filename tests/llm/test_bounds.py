@@ -105,6 +105,17 @@ def test_frequent_words_outlive_rare_ones(monkeypatch):
     assert max(len(encoder._words), len(encoder._chunks)) < 30 * 40 / 4
 
 
+def test_a_word_that_stood_alone_is_merged_and_held_once():
+    encoder, merged = packing.Encoder(public_tokenizers.path("word_bpe_49k.json")), []
+    merge = encoder._merge
+    encoder._merge = lambda letters: merged.append(letters) or merge(letters)
+    texts = ["Alonex alonex, (alonex) alonex's", "onlyalone onlyalone", "d.e.f .. ?! 'll 7, a7, é, Éé: x\x0by x\xa0y <|endoftext|> a<|b \u2019s"]
+    texts += [chr(x) + "a, " + chr(x) for x in range(0x300)]
+    assert encoder.many(texts) == [encoder._whole(t) for t in texts]
+    assert [encoder._strange(t) for t in texts] == [encoder._odd.search(t) is not None for t in texts]
+    assert merged.count("alonex") == 1 and "onlyalone" in encoder._chunks and "onlyalone" not in encoder._words
+
+
 def test_first_places_of_equal_hashes():
     for x in (np.zeros(0, np.uint64), np.full(5, 2**64 - 1, np.uint64), np.random.default_rng(4).integers(0, 400, 1000).astype(np.uint64)):
         seen = {}
