@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -76,8 +78,10 @@ def edits_applied(base: DataFrame, edits: DataFrame, key: str, fields: tuple[str
 LOOKUP_LIMIT = 20
 
 
-def lookup(rows: DataFrame, q_id: str, term: str, limit: int = LOOKUP_LIMIT) -> DataFrame:
-    """The first ``limit`` rows, by id, that a search term means: a part of the id, or chapter-number, or a bare number. A blank term means none."""
+def lookup(rows: DataFrame, q_id: str, term: str, limit: int = LOOKUP_LIMIT, ties: Sequence[str] = ()) -> DataFrame:
+    """The first ``limit`` rows, by id, that a search term means: a part of the id, or chapter-number, or a bare number. A blank term means none.
+
+    Rows of one id come by ``ties``, without which any of them may come."""
     whole, upper = F.upper(F.col(q_id)), term.strip().upper()
     if not upper:
         return rows.where(F.lit(False))
@@ -85,7 +89,7 @@ def lookup(rows: DataFrame, q_id: str, term: str, limit: int = LOOKUP_LIMIT) ->
     parts = upper.split("-")
     if all(p.isdigit() for p in parts) and (len(parts) == 1 or (len(parts) == 2 and max(map(len, parts)) <= 3)):
         hit = hit | whole.endswith("".join(f"-{int(p):03d}" for p in parts))
-    return rows.where(hit).orderBy(q_id).limit(limit)
+    return rows.where(hit).orderBy(q_id, *ties).limit(limit)
 
 
 def point_lookup(rows: DataFrame, q_id: str, term: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from pagemill.operators import book as whole
 from pagemill.operators import boxes, layout, pages, proposals, report, review, rows, tables
+from pagemill.plans import review_queries
 from pagemill.sources import sinks
 from pagemill.sources import tables as sources
 
@@ -77,6 +78,17 @@ def test_faulty_chapters_are_errors(spark, starts, fault):
         rows.chapter_ranges(toc, 1, 50).collect()
 
 
+def test_rows_of_one_id_come_as_they_stand_in_the_table(spark, tmp_path):
+    rows = [(k, 7 if k % 3 == 0 else 8, 3) for k in range(900, 0, -1)]
+    spark.createDataFrame(rows, "l_orderkey long, l_suppkey long, l_linenumber int").coalesce(1).write.option("parquet.block.size", "1024").parquet(f"{tmp_path}/lineitem.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        got = review_queries.lookup_questions(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [tuple(r) for r in got] == [("BOOK-007-003", k) for k in range(900, 840, -3)]
+
+
 def test_lookup_forms(spark):
     df = spark.createDataFrame([(f"ENT-{c:03d}-{q:03d}",) for c in (2, 21) for q in range(1, 31)], "q_id string")
     found = lambda term: [r.q_id for r in review.lookup(df, "q_id", term).collect()]
